@@ -1,2 +1,228 @@
-"""ML queries (filled below)."""
-ORACLES: dict[str, str] = {}
+"""Registered ML queries.
+
+Keys with a closed form (z-scores, indexes, tokens, exact TF-IDF, one-feature
+regression, accuracy, R2) carry DuckDB oracles; fitted models with random
+starts (trees, forests, naive Bayes, k-means, PCA, ALS) are checked by row
+count here and by planted-data tests in ``tests/test_ml.py``.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import MinMaxScaler
+from pyspark.sql import functions as F
+
+from ..ml import features as fe
+from ..ml import models as mo
+from ..operators import aggregates as agg
+from ..operators import joins as jn
+from ..operators import sets
+from .catalog import _rule_predictions, query, r6
+from .tables import table
+
+SEED = 42
+
+
+def _embeddings(spark, d):
+    return fe.array_features(table(spark, d, "embeddings"), "embedding").drop("embedding")
+
+
+def _labelled_docs(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    lab = table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    return docs.join(lab, "doc_id")
+
+
+@query("ml_assemble")
+def q_ml_assemble(spark, d):
+    li = table(spark, d, "lineitem")
+    v = fe.assemble(li, ["l_quantity", "l_discount", "l_tax"])
+    return v.select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("label"),
+                    vector_to_array("features").alias("features"))
+
+
+@query("zscore")
+def q_zscore(spark, d):
+    part = table(spark, d, "part").select("p_partkey", "p_size", "p_retailprice")
+    z = fe.zscore_columns(part, ["p_size", "p_retailprice"])
+    return z.select("p_partkey", r6(F.col("p_size_z")).alias("z_size"),
+                    r6(F.col("p_retailprice_z")).alias("z_price"))
+
+
+@query("string_index")
+def q_string_index(spark, d):
+    ev = table(spark, d, "events").select("event_type")
+    _, model = fe.string_index(ev, "event_type", "index")
+    # the fitted labels as a table: (category, index); size = number of categories
+    return model.transform(agg.distinct_values(ev, "event_type"))
+
+
+@query("index_to_string")
+def q_index_to_string(spark, d):
+    ev = table(spark, d, "events").select("event_id", "event_type")
+    indexed, model = fe.string_index(ev, "event_type", "event_index")
+    back = fe.index_to_string(indexed, "event_index", "event_type_back", model.labels)
+    return back.select("event_id", "event_index", "event_type_back")
+
+
+@query("ml_tokenize")
+def q_ml_tokenize(spark, d):
+    docs = fe.tokenize(table(spark, d, "documents").select("doc_id", "text"), "text")
+    return docs.select("doc_id", F.posexplode("tokens").alias("pos", "token"))
+
+
+@query("ml_tfidf")
+def q_ml_tfidf(spark, d):
+    docs = fe.tokenize(table(spark, d, "documents").select("doc_id", "text"), "text")
+    t = fe.tfidf_long(docs, "doc_id", "tokens")
+    return t.select("doc_id", "term", "tf", r6(F.col("idf")).alias("idf"), r6(F.col("tfidf")).alias("tfidf"))
+
+
+@query("ml_text_pipeline")
+def q_ml_text_pipeline(spark, d):
+    labelled = _labelled_docs(spark, d)
+    train, test = sets.split_by_key(labelled, ["doc_id"], 0.7, seed=SEED)
+    model = mo.text_classifier("text", "label").fit(train)
+    return agg.confusion_matrix(model.transform(test), "label", "prediction")
+
+
+@query("ml_naive_bayes")
+def q_ml_naive_bayes(spark, d):
+    labelled = fe.tokenize(_labelled_docs(spark, d), "text")
+    train, test = sets.split_by_key(labelled, ["doc_id"], 0.7, seed=SEED)
+    train_v, idf = fe.hashed_tfidf(train, train)
+    test_v = idf.transform(fe.HashingTF(inputCol="tokens", outputCol="_tf",
+                                        numFeatures=1 << 18).transform(test)).drop("_tf")
+    model = mo.naive_bayes(train_v, "tfidf", "label")
+    return mo.with_predictions(model, test_v, ["doc_id", "label"])
+
+
+@query("ml_linreg")
+def q_ml_linreg(spark, d):
+    li = fe.assemble(table(spark, d, "lineitem").select("l_quantity", "l_extendedprice"), ["l_quantity"])
+    model = mo.linear_regression(li, "features", "l_extendedprice")
+    facts = mo.regression_facts(spark, model)
+    return facts.select(F.round(F.col("coefficients")[0], 4).alias("slope"),
+                        F.round("intercept", 2).alias("intercept"))
+
+
+@query("ml_pca")
+def q_ml_pca(spark, d):
+    out, _ = fe.pca(_embeddings(spark, d), "features", 3)
+    return fe.vector_columns(out.select("vec_id", "pca"), "pca", ["pc1", "pc2", "pc3"])
+
+
+@query("ml_kmeans")
+def q_ml_kmeans(spark, d):
+    emb = _embeddings(spark, d)
+    model = mo.kmeans(emb, "features", k=4, seed=1)
+    return model.transform(emb).select("vec_id", F.col("prediction").alias("cluster"))
+
+
+def _split_embeddings(spark, d):
+    emb = _embeddings(spark, d).withColumn("label", F.col("label").cast("double"))
+    return sets.split_by_key(emb, ["vec_id"], 0.7, seed=SEED)
+
+
+@query("ml_tree")
+def q_ml_tree(spark, d):
+    train, test = _split_embeddings(spark, d)
+    model = mo.decision_tree(train, max_depth=4, seed=SEED)
+    return mo.with_predictions(model, test, ["vec_id", "label"])
+
+
+@query("ml_forest")
+def q_ml_forest(spark, d):
+    train, test = _split_embeddings(spark, d)
+    model = mo.random_forest(train, seed=SEED)
+    return mo.with_predictions(model, test, ["vec_id", "label"])
+
+
+@query("ml_compare")
+def q_ml_compare(spark, d):
+    emb = _embeddings(spark, d).withColumn("label", F.col("label").cast("double"))
+    # naive Bayes needs features >= 0: min-max scale (fitted on all rows; a
+    # scaler is two aggregates, no leakage of labels)
+    scaled = MinMaxScaler(inputCol="features", outputCol="features01").fit(emb).transform(emb)
+    train, test = sets.split_by_key(scaled, ["vec_id"], 0.7, seed=SEED)
+    return mo.compare_classifiers(train, test, mo.default_classifiers(seed=SEED,
+                                                                      nb_features="features01"))
+
+
+@query("ml_als")
+def q_ml_als(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    ratings = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
+               .groupBy(F.col("o_custkey").cast("int").alias("user"),
+                        F.col("l_partkey").cast("int").alias("item"))
+               .agg(F.avg("l_quantity").alias("rating")))
+    train, test = sets.split_by_key(ratings, ["user", "item"], 0.9, seed=SEED)
+    model = mo.als(train, "user", "item", "rating", rank=10, max_iter=5, seed=SEED)
+    return model.transform(test).select("user", "item", "rating", "prediction")
+
+
+@query("eval_accuracy")
+def q_eval_accuracy(spark, d):
+    return mo.accuracy(_rule_predictions(spark, d), "quality", "prediction").select(
+        r6(F.col("accuracy")).alias("accuracy"))
+
+
+@query("eval_r2")
+def q_eval_r2(spark, d):
+    li = table(spark, d, "lineitem").select("l_returnflag", "l_quantity")
+    # prediction = mean quantity of the row's flag; the per-flag table has one
+    # row per flag value, broadcast only after its size is checked
+    means = li.groupBy("l_returnflag").agg(F.avg("l_quantity").alias("prediction"))
+    pred = li.join(jn.maybe_broadcast(means), "l_returnflag")
+    return mo.r2(pred, "l_quantity", "prediction").select(r6(F.col("r2")).alias("r2"))
+
+
+# ML's Tokenizer = JVM lower-case + split on one \s character (trailing
+# empty tokens dropped); \s in the JVM also covers the vertical tab.
+_WS = r"[ \t\n\x0B\f\r]"
+_LOW = f"regexp_replace(lower(text), '{_WS}+$', '')"
+_TOKENS = (f"CASE WHEN text = '' THEN [''] WHEN {_LOW} = '' THEN []::VARCHAR[] "
+           f"ELSE regexp_split_to_array({_LOW}, '{_WS}') END")
+
+ORACLES: dict[str, str] = {
+    "zscore": """
+        SELECT p_partkey,
+               round((p_size - (SELECT avg(p_size) FROM part)) / (SELECT stddev_samp(p_size) FROM part), 6) AS z_size,
+               round((p_retailprice - (SELECT avg(p_retailprice) FROM part))
+                     / (SELECT stddev_samp(p_retailprice) FROM part), 6) AS z_price
+        FROM part""",
+    "string_index": """
+        SELECT event_type, CAST(row_number() OVER (ORDER BY count(*) DESC, event_type) - 1 AS DOUBLE) AS index
+        FROM events GROUP BY event_type""",
+    "index_to_string": """
+        WITH idx AS (
+          SELECT event_type,
+                 CAST(row_number() OVER (ORDER BY count(*) DESC, event_type) - 1 AS DOUBLE) AS event_index
+          FROM events GROUP BY event_type)
+        SELECT e.event_id, i.event_index, i.event_type AS event_type_back
+        FROM events e JOIN idx i ON e.event_type = i.event_type""",
+    "ml_tokenize": f"""
+        WITH t AS (SELECT doc_id, {_TOKENS} AS toks FROM documents)
+        SELECT doc_id, CAST(unnest(range(len(toks))) AS INTEGER) AS pos, unnest(toks) AS token FROM t""",
+    "ml_tfidf": f"""
+        WITH t AS (SELECT doc_id, unnest({_TOKENS}) AS term FROM documents),
+             tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+             n AS (SELECT count(*) AS n FROM documents),
+             idf AS (SELECT term, ln((n.n + 1.0) / (count(*) + 1.0)) AS idf FROM tf, n GROUP BY term, n.n)
+        SELECT tf.doc_id, tf.term, tf.tf, round(idf.idf, 6) AS idf, round(tf.tf * idf.idf, 6) AS tfidf
+        FROM tf JOIN idf ON tf.term = idf.term""",
+    "ml_linreg": """
+        SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+               round(regr_intercept(l_extendedprice, l_quantity), 2) AS intercept
+        FROM lineitem""",
+    "eval_accuracy": """
+        SELECT round(avg(CASE WHEN quality = CASE WHEN toxic = 0 THEN 1 ELSE 0 END THEN 1.0 ELSE 0.0 END), 6)
+               AS accuracy
+        FROM labels""",
+    "eval_r2": """
+        WITH m AS (SELECT l_returnflag, avg(l_quantity) AS p FROM lineitem GROUP BY l_returnflag),
+             a AS (SELECT avg(l_quantity) AS mu FROM lineitem)
+        SELECT round(1 - sum((l.l_quantity - m.p) ^ 2) / sum((l.l_quantity - a.mu) ^ 2), 6) AS r2
+        FROM lineitem l JOIN m ON l.l_returnflag = m.l_returnflag, a""",
+}
