@@ -1,2 +1,80 @@
-"""Streaming queries (filled below)."""
-ORACLES: dict[str, str] = {}
+"""Registered streaming queries.
+
+Each runs a real Structured Streaming query over the driver's table files
+(file source, ``availableNow`` trigger, Parquet sink with a checkpoint in
+the shared folder) and returns the landed result as a batch frame.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import aggregates as agg
+from ..streaming import landing, sources, windows
+from .catalog import query
+from .tables import table
+
+SLOT_SECONDS = 300  # events are sparse (days of data): 5-minute slots
+WINDOW, SLIDE, WATERMARK = "15 minutes", "5 minutes", "1 hour"
+
+
+def _stream_of(spark, d, name, cols):
+    schema = table(spark, d, name).schema
+    s = sources.file_stream(spark, d, schema, name_filter=f"{name}.parquet", max_files_per_trigger=1)
+    return s.select(*cols)
+
+
+def _landed_events(spark, d):
+    return landing.run_available(spark, _stream_of(spark, d, "events", ["event_id", "ts"]), "events")
+
+
+@query("stream_sliding_count")
+def q_stream_sliding_count(spark, d):
+    s = windows.event_time(_stream_of(spark, d, "events", ["ts"]), "ts")
+    counts = windows.sliding_counts(s, "ts", WINDOW, SLIDE, watermark=WATERMARK)
+    return landing.run_available(spark, counts, "sliding")
+
+
+@query("stream_batch_count")
+def q_stream_batch_count(spark, d):
+    return windows.slot_counts(_landed_events(spark, d), "ts", SLOT_SECONDS, "n")
+
+
+@query("stream_last_slots")
+def q_stream_last_slots(spark, d):
+    counts = windows.slot_counts(_landed_events(spark, d), "ts", SLOT_SECONDS, "n")
+    return windows.last_n_slots(counts, SLOT_SECONDS, 3, "n", "n_window")
+
+
+@query("stream_word_count")
+def q_stream_word_count(spark, d):
+    landed = landing.run_available(spark, _stream_of(spark, d, "documents", ["doc_id", "text"]), "docs")
+    return agg.word_count(landed, "text", " ")
+
+
+_SLOTS = """
+    c AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS slot_start, count(*) AS n FROM events GROUP BY 1),
+    s AS (SELECT unnest(generate_series(min(slot_start), max(slot_start), INTERVAL 5 MINUTE)) AS slot_start
+          FROM c),
+    z AS (SELECT s.slot_start, coalesce(c.n, 0) AS n FROM s LEFT JOIN c ON s.slot_start = c.slot_start)"""
+
+ORACLES: dict[str, str] = {
+    "stream_sliding_count": """
+        WITH w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) - k * INTERVAL 5 MINUTE AS window_start
+                   FROM events, range(3) r(k)),
+             wm AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR AS wm FROM events)
+        SELECT window_start, window_start + INTERVAL 15 MINUTE AS window_end, count(*) AS count
+        FROM w, wm WHERE window_start + INTERVAL 15 MINUTE <= wm.wm
+        GROUP BY window_start""",
+    "stream_batch_count": f"WITH {_SLOTS} SELECT slot_start, n FROM z",
+    "stream_last_slots": f"""
+        WITH {_SLOTS}
+        SELECT slot_start, CAST(sum(n) OVER (ORDER BY slot_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
+                                AS BIGINT) AS n_window
+        FROM z""",
+    "stream_word_count": """
+        SELECT word, count(*) AS count
+        FROM (SELECT unnest(CASE WHEN rtrim(text, ' ') = '' AND text <> '' THEN []::VARCHAR[]
+                                 ELSE string_split(rtrim(text, ' '), ' ') END) AS word FROM documents)
+        GROUP BY word""",
+}
