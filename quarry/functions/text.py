@@ -44,22 +44,35 @@ def join_fields(cols: list[ColumnOrName], sep: str) -> Column:
     return F.concat_ws(sep, *[_c(x) for x in cols])
 
 
-def tokens(c: ColumnOrName, sep: str) -> Column:
-    """tokens of a line with the JVM ``String.split`` rule.
-
-    Trailing empty tokens are dropped, so a line made only of separators has
-    no token, while the empty line has one empty token. Inner and leading
-    empty tokens are kept.
-    """
+def tokens_regex(c: ColumnOrName, pattern: str) -> Column:
+    """Tokens of a line split on a regular expression, with the JVM
+    ``String.split`` rule: trailing empty tokens are dropped, so a line made
+    only of separators has no token, while the empty line has one empty
+    token. Inner and leading empty tokens are kept."""
     col = _c(c)
-    pat = re.escape(sep)
-    stripped = F.regexp_replace(col, f"(?:{pat})+$", "")
+    stripped = F.regexp_replace(col, f"(?:{pattern})+\\z", "")
     empty = F.array().cast("array<string>")
     return (F.when(col.isNull(), F.lit(None).cast("array<string>"))
             .when((stripped == "") & (col != ""), empty)
-            .otherwise(F.split(stripped, pat)))
+            .otherwise(F.split(stripped, pattern)))
+
+
+def tokens(c: ColumnOrName, sep: str) -> Column:
+    """tokens of a line split on a literal separator (JVM rule)."""
+    return tokens_regex(c, re.escape(sep))
+
+
+def explode_words(arr: Column, name: str) -> list:
+    """(explode expression, filter) for one row per array element.
+
+    ``explode_outer`` plus a null filter gives the same rows as ``explode``
+    but keeps Spark from inferring a ``size(array) > 0`` filter and pushing
+    it, with the whole tokenising, below a repartition into the scan task.
+    """
+    return [F.explode_outer(arr).alias(name), F.col(name).isNotNull()]
 
 
 def explode_tokens(df, c: ColumnOrName, sep: str, name: str = "token"):
     """F19 as a table: one row per token, other columns kept."""
-    return df.select("*", F.explode(tokens(c, sep)).alias(name))
+    gen, keep = explode_words(tokens(c, sep), name)
+    return df.select("*", gen).where(keep)

@@ -15,11 +15,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import maybe_broadcast
+from ..functions.text import explode_words, tokens_regex
 
-# A vocabulary up to this many terms is broadcast to the TF table; above it
-# the join is a shuffle join that AQE may split for a hot term.
-IDF_BROADCAST_TERMS = 2_000_000
 
 
 def assemble(df: DataFrame, inputs: Sequence[str], output: str = "features",
@@ -83,9 +80,20 @@ def pca(df: DataFrame, input_col: str, k: int, output: str = "pca"):
     return model.transform(df), model
 
 
+# The JVM's \s: space, tab, newline, vertical tab, form feed, carriage return.
+JVM_WHITESPACE = r"[ \t\n\x0B\f\r]"
+
+
 def tokenize(df: DataFrame, input_col: str, output: str = "tokens") -> DataFrame:
-    """M6: lower-case, split on single white-space characters."""
-    return Tokenizer(inputCol=input_col, outputCol=output).transform(df)
+    """M6: the rule of ML's ``Tokenizer`` (lower-case, split on one white-space
+    character, trailing empty tokens dropped) as built-in expressions, so it
+    runs in generated code instead of a row-at-a-time Scala function."""
+    return df.withColumn(output, tokens_regex(F.lower(F.col(input_col)), JVM_WHITESPACE))
+
+
+def tokenizer_stage(input_col: str, output: str = "tokens") -> Tokenizer:
+    """M6 as a pipeline stage (for ``Pipeline`` objects)."""
+    return Tokenizer(inputCol=input_col, outputCol=output)
 
 
 def hashed_tfidf(train: DataFrame, apply_to: DataFrame, tokens_col: str = "tokens",
@@ -100,7 +108,8 @@ def hashed_tfidf(train: DataFrame, apply_to: DataFrame, tokens_col: str = "token
 def term_frequencies(df: DataFrame, doc_col: str, tokens_col: str) -> DataFrame:
     """(doc, term, tf): one row per distinct term of a document. The partial
     aggregate keeps a long document's repeats map-side."""
-    return (df.select(doc_col, F.explode(tokens_col).alias("term"))
+    gen, keep = explode_words(F.col(tokens_col), "term")
+    return (df.select(doc_col, gen).where(keep)
             .groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
@@ -117,13 +126,14 @@ def tfidf_long(docs: DataFrame, doc_col: str, tokens_col: str,
     """M7 + M8 in long form, exact (no hashing): (doc, term, tf, idf, tfidf).
 
     Document frequencies come from ``fit_docs`` (the training part) when
-    given. The idf table has one row per term; it is broadcast only when its
-    size is checked, otherwise joined by shuffle (AQE splits a hot term)."""
+    given. The idf table has one row per term and is derived, so its size is
+    checked at run time by AQE: broadcast when the shuffled vocabulary is
+    small, otherwise a sort-merge join whose hot-term partitions AQE splits."""
     tf = term_frequencies(docs, doc_col, tokens_col)
     fit = fit_docs if fit_docs is not None else docs
     fit_tf = tf if fit_docs is None else term_frequencies(fit_docs, doc_col, tokens_col)
     n_docs = fit.select(F.count(F.lit(1))).scalar()
-    idf = maybe_broadcast(inverse_document_frequency(fit_tf, doc_col, n_docs), IDF_BROADCAST_TERMS)
+    idf = inverse_document_frequency(fit_tf, doc_col, n_docs)
     # a term unseen while fitting has df = 0
     out = tf.join(idf, "term", "left")
     idf_col = F.coalesce(F.col("idf"), F.log(n_docs + F.lit(1)))

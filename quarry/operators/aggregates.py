@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import rounded_pct
-from ..functions.text import _c, ColumnOrName, tokens
+from ..functions.text import _c, ColumnOrName, explode_words, tokens
 
 
 def count_rows(df: DataFrame, name: str = "n") -> DataFrame:
@@ -132,7 +132,8 @@ def word_count(df: DataFrame, text: ColumnOrName, sep: str = " ",
     """Words of every line (JVM split rule), counted. The partial
     aggregate runs before the shuffle, so a very frequent word costs one row
     per map task."""
-    return (df.select(F.explode(tokens(text, sep)).alias(word_name))
+    gen, keep = explode_words(tokens(text, sep), word_name)
+    return (df.select(gen).where(keep)
             .groupBy(word_name).agg(F.count(F.lit(1)).alias(count_name)))
 
 

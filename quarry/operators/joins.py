@@ -1,9 +1,14 @@
 """Joins.
 
-Lookups against small code tables are broadcast, but only after their size
-is checked: ``is_bounded`` stops reading after ``max_rows + 1`` rows. Beyond
-the bound the join is left to Catalyst and AQE (sort-merge, with skew
+Lookups against small stored code tables are broadcast, but only after their
+size is checked: ``is_bounded`` stops reading after ``max_rows + 1`` rows.
+Beyond the bound the join is left to Catalyst and AQE (sort-merge, with skew
 splitting), so a lookup that grows can never blow up executor memory.
+
+A side that is *derived* (an aggregate of a big table) is not checked this
+way, as the check would compute it twice; plain joins leave it to AQE, which
+broadcasts it only when its real shuffled size is under
+``spark.sql.adaptive.autoBroadcastJoinThreshold``.
 """
 
 from __future__ import annotations

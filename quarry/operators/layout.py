@@ -25,3 +25,18 @@ def partition_profile(df: DataFrame) -> DataFrame:
     of partitions). Runs as one partial aggregate; nothing is collected."""
     return (df.select(F.spark_partition_id().alias("partition"))
             .groupBy("partition").agg(F.count(F.lit(1)).alias("rows")))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a frame over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism) before CPU-heavy row work such as tokenising.
+
+    Only when the input has fewer partitions than that (a few large
+    unsplittable files) is a round-robin shuffle added; a big input read in
+    many splits is returned unchanged, so this costs nothing at scale. The
+    partition count is planning metadata, no job runs.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

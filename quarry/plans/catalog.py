@@ -391,7 +391,7 @@ def q_corr_with_label(spark, d):
 
 @query("word_count")
 def q_word_count(spark, d):
-    return agg.word_count(table(spark, d, "documents"), "text", " ")
+    return agg.word_count(layout.spread(table(spark, d, "documents").select("text")), "text", " ")
 
 
 def _rule_predictions(spark, d) -> DataFrame:

@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from ..ml import features as fe
 from ..ml import models as mo
 from ..operators import aggregates as agg
-from ..operators import joins as jn
-from ..operators import sets
+from ..operators import layout, sets
 from .catalog import _rule_predictions, query, r6
 from .tables import table
 
@@ -65,15 +64,21 @@ def q_index_to_string(spark, d):
     return back.select("event_id", "event_index", "event_type_back")
 
 
+def _documents(spark, d):
+    """doc_id and whole text, spread over the cluster before tokenising."""
+    return layout.spread(table(spark, d, "documents").select("doc_id", "text"))
+
+
 @query("ml_tokenize")
 def q_ml_tokenize(spark, d):
-    docs = fe.tokenize(table(spark, d, "documents").select("doc_id", "text"), "text")
-    return docs.select("doc_id", F.posexplode("tokens").alias("pos", "token"))
+    docs = fe.tokenize(_documents(spark, d), "text")
+    return (docs.select("doc_id", F.posexplode_outer("tokens").alias("pos", "token"))
+            .where(F.col("token").isNotNull()))
 
 
 @query("ml_tfidf")
 def q_ml_tfidf(spark, d):
-    docs = fe.tokenize(table(spark, d, "documents").select("doc_id", "text"), "text")
+    docs = fe.tokenize(_documents(spark, d), "text")
     t = fe.tfidf_long(docs, "doc_id", "tokens")
     return t.select("doc_id", "term", "tf", r6(F.col("idf")).alias("idf"), r6(F.col("tfidf")).alias("tfidf"))
 
@@ -171,10 +176,10 @@ def q_eval_accuracy(spark, d):
 @query("eval_r2")
 def q_eval_r2(spark, d):
     li = table(spark, d, "lineitem").select("l_returnflag", "l_quantity")
-    # prediction = mean quantity of the row's flag; the per-flag table has one
-    # row per flag value, broadcast only after its size is checked
+    # prediction = mean quantity of the row's flag; the per-flag table is
+    # derived, so AQE checks its size at run time and broadcasts it when small
     means = li.groupBy("l_returnflag").agg(F.avg("l_quantity").alias("prediction"))
-    pred = li.join(jn.maybe_broadcast(means), "l_returnflag")
+    pred = li.join(means, "l_returnflag")
     return mo.r2(pred, "l_quantity", "prediction").select(r6(F.col("r2")).alias("r2"))
 
 

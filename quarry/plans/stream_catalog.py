@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
+from ..operators import layout
 from ..streaming import landing, sources, windows
 from .catalog import query
 from .tables import table
@@ -49,7 +50,7 @@ def q_stream_last_slots(spark, d):
 @query("stream_word_count")
 def q_stream_word_count(spark, d):
     landed = landing.run_available(spark, _stream_of(spark, d, "documents", ["doc_id", "text"]), "docs")
-    return agg.word_count(landed, "text", " ")
+    return agg.word_count(layout.spread(landed.select("text")), "text", " ")
 
 
 _SLOTS = """

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import tokens
+from ..functions.text import explode_words, tokens
 
 
 def event_time(stream: DataFrame, column: str) -> DataFrame:
@@ -34,8 +34,8 @@ def sliding_counts(stream: DataFrame, ts: str, length: str = "15 seconds", slide
 def running_word_count(stream: DataFrame, text: str = "value", sep: str = " ") -> DataFrame:
     """T3 running total: a stateful word count (update/complete output mode).
     State holds one row per distinct word."""
-    return (stream.select(F.explode(tokens(text, sep)).alias("word"))
-            .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
+    gen, keep = explode_words(tokens(text, sep), "word")
+    return stream.select(gen).where(keep).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 def slot_of(ts: Column, slot_seconds: int) -> Column:
@@ -95,6 +95,6 @@ def tokens_per_slot(landed: DataFrame, ts: str, text: str, slot_seconds: int = 5
                     sep: str = " ") -> DataFrame:
     """T3 as in the studied program: word counts per batch slot, no state
     carried from one slot to the next."""
-    return (landed.select(slot_of(F.col(ts), slot_seconds).alias("slot_start"),
-                          F.explode(tokens(text, sep)).alias("word"))
+    gen, keep = explode_words(tokens(text, sep), "word")
+    return (landed.select(slot_of(F.col(ts), slot_seconds).alias("slot_start"), gen).where(keep)
             .groupBy("slot_start", "word").agg(F.count(F.lit(1)).alias("count")))
