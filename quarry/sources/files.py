@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 REJECT = "_reject"
 CORRUPT = "_corrupt"
@@ -29,23 +29,37 @@ def inline_frame(spark: SparkSession, rows: Sequence[tuple], schema: StructType
     return spark.createDataFrame(list(rows), schema)
 
 
-def _with_corrupt(schema: StructType) -> StructType:
-    return StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
+def _as_text(schema: StructType) -> StructType:
+    """The declared fields with every atomic type read as text (complex types
+    kept), plus the corrupt-record column for lines that do not parse at all."""
+    fields = [StructField(f.name, f.dataType if isinstance(f.dataType, (StructType, ArrayType, MapType))
+                          else StringType(), True) for f in schema.fields]
+    return StructType(fields + [StructField(CORRUPT, StringType(), True)])
 
 
-def _flag_corrupt(df: DataFrame) -> DataFrame:
-    return (df.withColumn(REJECT, F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed")))
-            .drop(CORRUPT))
+def _typed(df: DataFrame, schema: StructType) -> DataFrame:
+    """Cast text fields to the declared types with ``try_cast``; a row gets a
+    reject reason when its line did not parse or a present value did not
+    convert (see ``typed.typed_projection``)."""
+    from .typed import typed_projection
+    atomic = {f.name: (F.col(f.name), f.dataType.simpleString()) for f in schema.fields
+              if not isinstance(f.dataType, (StructType, ArrayType, MapType))}
+    complex_ = [f.name for f in schema.fields if f.name not in atomic]
+    structural = F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed line"))
+    pre = df.withColumn(REJECT, structural).drop(CORRUPT)
+    out = typed_projection(pre, atomic, keep=complex_)
+    return out.select(*[f.name for f in schema.fields], REJECT)
 
 
 def read_json_lines(spark: SparkSession, path: str | Sequence[str], schema: StructType,
                     allow_single_quotes: bool = True) -> DataFrame:
-    """S3: JSON-lines files with a declared schema; malformed lines flagged."""
-    df = (spark.read.schema(_with_corrupt(schema))
+    """S3: JSON-lines files with a declared schema; malformed lines and values
+    that do not convert are flagged in ``_reject``."""
+    df = (spark.read.schema(_as_text(schema))
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
           .option("allowSingleQuotes", str(allow_single_quotes).lower())
           .json(path))
-    return _flag_corrupt(df)
+    return _typed(df, schema)
 
 
 def parse_json_column(df: DataFrame, column: str, schema: StructType | str,
@@ -61,13 +75,13 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: Struc
     """Delimited text with a declared schema (CSV with or without a
     header, or another separator such as ``;``). A header line is skipped
     once per file; rows that do not fit the schema are flagged."""
-    reader = (spark.read.schema(_with_corrupt(schema))
+    reader = (spark.read.schema(_as_text(schema))
               .option("sep", sep).option("header", str(header).lower())
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
               .option("enforceSchema", "true"))
     if quote is not None:
         reader = reader.option("quote", quote)
-    return _flag_corrupt(reader.csv(path))
+    return _typed(reader.csv(path), schema)
 
 
 def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
