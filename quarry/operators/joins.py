@@ -50,26 +50,28 @@ def join_on(left: DataFrame, right: DataFrame, left_key: str | Sequence[str],
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
            how: str = "inner", keep_key: bool = False,
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, fixed_size: bool = False) -> DataFrame:
     """Code -> name enrichment; the lookup key is dropped afterwards.
 
     The lookup key is cast once to the fact key's type (a string code joined
     to a double column must not rely on implicit coercion). ``how='left'``
     keeps facts with unknown codes (null names); ``inner`` drops them.
+    ``fixed_size`` marks a code table whose size the program fixes (an inline
+    list): it is broadcast without the row check.
     """
     ftype = fact.schema[fact_key].dataType.simpleString()
     d = dim.withColumn(dim_key, F.col(dim_key).try_cast(ftype))
-    d = maybe_broadcast(d, max_broadcast_rows)
+    d = F.broadcast(d) if fixed_size else maybe_broadcast(d, max_broadcast_rows)
     out = fact.join(d, fact[fact_key] == d[dim_key], how)
     return out if keep_key else out.drop(d[dim_key])
 
 
 def unmatched(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, fixed_size: bool = False) -> DataFrame:
     """Facts whose code has no lookup row (the rows an inner lookup loses)."""
     ftype = fact.schema[fact_key].dataType.simpleString()
     d = dim.select(F.col(dim_key).try_cast(ftype).alias("__k"))
-    d = maybe_broadcast(d, max_broadcast_rows)
+    d = F.broadcast(d) if fixed_size else maybe_broadcast(d, max_broadcast_rows)
     return fact.join(d, fact[fact_key] == d["__k"], "left_anti")
 
 

@@ -47,7 +47,7 @@ ORDER_STATUS_NAMES = [("F", "finished"), ("O", "open"), ("P", "partial")]
 def q_src_inline(spark, d):
     status = files.inline_frame(spark, ORDER_STATUS_NAMES, "code string, status_name string")
     orders = table(spark, d, "orders").select("o_orderstatus")
-    enriched = jn.lookup(orders, status, "o_orderstatus", "code")
+    enriched = jn.lookup(orders, status, "o_orderstatus", "code", fixed_size=True)
     return agg.group_count(enriched, "status_name")
 
 
