@@ -108,8 +108,10 @@ def r2(pred: DataFrame, label: str = "label", prediction: str = "prediction",
     """``1 - SS_res / SS_tot``; the label mean is a scalar subquery."""
     y = F.col(label).cast("double")
     mean = pred.select(F.avg(y)).scalar()
-    return pred.agg((F.lit(1.0) - F.try_divide(F.sum((y - F.col(prediction)) ** 2),
-                                               F.sum((y - mean) ** 2))).alias(name))
+    # deviations are projected first: a model's output column may be
+    # non-deterministic to the analyzer, which then refuses it inside sum()
+    dev = pred.select(((y - F.col(prediction)) ** 2).alias("_res"), ((y - mean) ** 2).alias("_tot"))
+    return dev.agg((F.lit(1.0) - F.try_divide(F.sum("_res"), F.sum("_tot"))).alias(name))
 
 
 def compare_classifiers(train: DataFrame, test: DataFrame,
