@@ -48,6 +48,16 @@ def q_zscore(spark, d):
                     r6(F.col("p_retailprice_z")).alias("z_price"))
 
 
+@query("ml_scale")
+def q_ml_scale(spark, d):
+    cols = ["l_quantity", "l_discount", "l_tax"]
+    v = fe.assemble(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *cols), cols)
+    scaled, _ = fe.scale_vectors(v, "features", "scaled")
+    arr = vector_to_array("scaled")
+    return scaled.select("l_orderkey", "l_linenumber",
+                         *[r6(arr[i]).alias(f"z_{c}") for i, c in enumerate(cols)])
+
+
 @query("string_index")
 def q_string_index(spark, d):
     ev = table(spark, d, "events").select("event_type")
@@ -176,11 +186,9 @@ def q_eval_accuracy(spark, d):
 @query("eval_r2")
 def q_eval_r2(spark, d):
     li = table(spark, d, "lineitem").select("l_returnflag", "l_quantity")
-    # prediction = mean quantity of the row's flag; the per-flag table is
-    # derived, so AQE checks its size at run time and broadcasts it when small
-    means = li.groupBy("l_returnflag").agg(F.avg("l_quantity").alias("prediction"))
-    pred = li.join(means, "l_returnflag")
-    return mo.r2(pred, "l_quantity", "prediction").select(r6(F.col("r2")).alias("r2"))
+    # prediction = mean quantity of the row's flag; computed from per-flag
+    # moments, so no row is joined back on the (three-valued) flag
+    return mo.r2_of_group_means(li, "l_quantity", ["l_returnflag"]).select(r6(F.col("r2")).alias("r2"))
 
 
 # ML's Tokenizer = JVM lower-case + split on one \s character (trailing
@@ -197,6 +205,12 @@ ORACLES: dict[str, str] = {
                round((p_retailprice - (SELECT avg(p_retailprice) FROM part))
                      / (SELECT stddev_samp(p_retailprice) FROM part), 6) AS z_price
         FROM part""",
+    "ml_scale": """
+        SELECT l_orderkey, l_linenumber,
+               round((l_quantity - avg(l_quantity) OVER ()) / stddev_samp(l_quantity) OVER (), 6) AS z_l_quantity,
+               round((l_discount - avg(l_discount) OVER ()) / stddev_samp(l_discount) OVER (), 6) AS z_l_discount,
+               round((l_tax - avg(l_tax) OVER ()) / stddev_samp(l_tax) OVER (), 6) AS z_l_tax
+        FROM lineitem""",
     "string_index": """
         SELECT event_type, CAST(row_number() OVER (ORDER BY count(*) DESC, event_type) - 1 AS DOUBLE) AS index
         FROM events GROUP BY event_type""",
