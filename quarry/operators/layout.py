@@ -33,8 +33,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
     Only when the input has fewer partitions than that (a few large
     unsplittable files) is a round-robin shuffle added; a big input read in
-    many splits is returned unchanged, so this costs nothing at scale. The
-    partition count is planning metadata, no job runs.
+    many splits is returned unchanged, so this costs nothing at scale. Apply
+    it to a frame read from storage (before any shuffle): then the partition
+    count is planning metadata and no job runs.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:

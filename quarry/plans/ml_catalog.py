@@ -27,7 +27,7 @@ def _embeddings(spark, d):
 
 
 def _labelled_docs(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = layout.spread(table(spark, d, "documents").select("doc_id", "text"))
     lab = table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     return docs.join(lab, "doc_id")
 
