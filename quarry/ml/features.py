@@ -117,22 +117,25 @@ def inverse_document_frequency(tf: DataFrame, doc_col: str, n_docs) -> DataFrame
     """(term, idf) with the smoothed rule ``ln((N + 1) / (df + 1))`` of ML's IDF.
     ``n_docs`` is a Column (e.g. a scalar subquery) or a number."""
     n = n_docs if not isinstance(n_docs, (int, float)) else F.lit(n_docs)
-    return (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # counting rows with tf > 0 (all of them) keeps the TF aggregate itself in
+    # this plan, so Spark reuses the TF exchange instead of tokenising twice
+    return (tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
             .select("term", F.log((n + F.lit(1)) / (F.col("df") + F.lit(1))).alias("idf")))
 
 
 def tfidf_long(docs: DataFrame, doc_col: str, tokens_col: str,
-               fit_docs: DataFrame | None = None) -> DataFrame:
+               fit_docs: DataFrame | None = None, n_docs=None) -> DataFrame:
     """M7 + M8 in long form, exact (no hashing): (doc, term, tf, idf, tfidf).
 
     Document frequencies come from ``fit_docs`` (the training part) when
-    given. The idf table has one row per term and is derived, so its size is
+    given; ``n_docs`` (a number or scalar Column) may give its size. The idf table has one row per term and is derived, so its size is
     checked at run time by AQE: broadcast when the shuffled vocabulary is
     small, otherwise a sort-merge join whose hot-term partitions AQE splits."""
     tf = term_frequencies(docs, doc_col, tokens_col)
     fit = fit_docs if fit_docs is not None else docs
     fit_tf = tf if fit_docs is None else term_frequencies(fit_docs, doc_col, tokens_col)
-    n_docs = fit.select(F.count(F.lit(1))).scalar()
+    if n_docs is None:
+        n_docs = fit.select(F.count(F.lit(1))).scalar()
     idf = inverse_document_frequency(fit_tf, doc_col, n_docs)
     # a term unseen while fitting has df = 0
     out = tf.join(idf, "term", "left")

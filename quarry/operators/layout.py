@@ -27,7 +27,7 @@ def partition_profile(df: DataFrame) -> DataFrame:
             .groupBy("partition").agg(F.count(F.lit(1)).alias("rows")))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, keys: tuple[str, ...] = ()) -> DataFrame:
     """Spread a frame over at least ``min_partitions`` tasks (default: the
     cluster's parallelism) before CPU-heavy row work such as tokenising.
 
@@ -36,8 +36,13 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     many splits is returned unchanged, so this costs nothing at scale. Apply
     it to a frame read from storage (before any shuffle): then the partition
     count is planning metadata and no job runs.
+
+    With ``keys`` the rows are hash-partitioned on them instead of dealt
+    round robin: a later grouping that includes the keys (e.g. per document
+    and term) then needs no exchange of its own, and the exchange is
+    deterministic, so Spark can reuse it across branches of one plan.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    return df.repartition(target, *keys) if keys else df.repartition(target)

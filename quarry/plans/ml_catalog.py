@@ -27,7 +27,7 @@ def _embeddings(spark, d):
 
 
 def _labelled_docs(spark, d):
-    docs = layout.spread(table(spark, d, "documents").select("doc_id", "text"))
+    docs = layout.spread(table(spark, d, "documents").select("doc_id", "text"), keys=("doc_id",))
     lab = table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     return docs.join(lab, "doc_id")
 
@@ -76,7 +76,7 @@ def q_index_to_string(spark, d):
 
 def _documents(spark, d):
     """doc_id and whole text, spread over the cluster before tokenising."""
-    return layout.spread(table(spark, d, "documents").select("doc_id", "text"))
+    return layout.spread(table(spark, d, "documents").select("doc_id", "text"), keys=("doc_id",))
 
 
 @query("ml_tokenize")
@@ -89,7 +89,8 @@ def q_ml_tokenize(spark, d):
 @query("ml_tfidf")
 def q_ml_tfidf(spark, d):
     docs = fe.tokenize(_documents(spark, d), "text")
-    t = fe.tfidf_long(docs, "doc_id", "tokens")
+    n_docs = table(spark, d, "documents").select(F.count(F.lit(1))).scalar()
+    t = fe.tfidf_long(docs, "doc_id", "tokens", n_docs=n_docs)
     return t.select("doc_id", "term", "tf", r6(F.col("idf")).alias("idf"), r6(F.col("tfidf")).alias("tfidf"))
 
 
