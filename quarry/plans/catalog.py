@@ -18,7 +18,7 @@ from ..operators import aggregates as agg
 from ..operators import filters as flt
 from ..operators import joins as jn
 from ..operators import layout, sets
-from ..sources import files, typed
+from ..sources import files, sinks, typed
 from . import reports
 from .tables import table
 
@@ -74,6 +74,53 @@ def q_sql_filter(spark, d):
     return files.run_sql(spark, "SELECT * FROM quarry_part WHERE p_size > :size", {"size": 40})
 
 
+def _scratch_dir(spark, label):
+    """A fresh folder below the shared checkpoint root for a round trip."""
+    import uuid
+    from ..session import scratch_path
+    return scratch_path(spark, "roundtrip", f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+@query("src_csv_roundtrip")
+def q_src_csv_roundtrip(spark, d):
+    """S5 + S10: a table written as CSV with a header (one header per part
+    file, fails if the folder exists), read back with its declared schema."""
+    cust = table(spark, d, "customer")
+    path = _scratch_dir(spark, "customer-csv")
+    sinks.write_delimited(cust, path, sep=",", header=True)
+    return typed.valid_rows(files.read_delimited(spark, path, cust.schema, sep=",", header=True))
+
+
+@query("src_semicolon_roundtrip")
+def q_src_semicolon_roundtrip(spark, d):
+    """The same with ``;`` and no header (S7's form)."""
+    sup = table(spark, d, "supplier")
+    path = _scratch_dir(spark, "supplier-ssv")
+    sinks.write_delimited(sup, path, sep=";", header=False)
+    return typed.valid_rows(files.read_delimited(spark, path, sup.schema, sep=";", header=False))
+
+
+@query("src_json_roundtrip")
+def q_src_json_roundtrip(spark, d):
+    """S3: JSON lines with a declared schema."""
+    o = table(spark, d, "orders").drop("o_orderdate")
+    path = _scratch_dir(spark, "orders-json")
+    o.write.mode("errorifexists").json(path)
+    return typed.valid_rows(files.read_json_lines(spark, path, o.schema))
+
+
+@query("src_text_lines")
+def q_src_text_lines(spark, d):
+    """S1 + P6 + F3: text lines of part files that each start with the same
+    header; every header copy is dropped, fields are split out."""
+    part = table(spark, d, "part").select("p_partkey", "p_name")
+    path = _scratch_dir(spark, "part-text")
+    sinks.write_delimited(part.repartition(4), path, sep="|", header=True)
+    lines = flt.drop_header(files.read_lines(spark, path), "value", "p_partkey|p_name")
+    return lines.select(qf.field("value", "|", 0).cast("bigint").alias("p_partkey"),
+                        qf.field("value", "|", 1).alias("p_name"))
+
+
 # --- 2.2 projections and filters ------------------------------------------
 
 @query("select_cols")

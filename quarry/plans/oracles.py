@@ -33,6 +33,11 @@ ORACLES: dict[str, str] = {
                CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority
         FROM orders""",
     "sql_filter": "SELECT * FROM part WHERE p_size > 40",
+    "src_csv_roundtrip": "SELECT * FROM customer",
+    "src_semicolon_roundtrip": "SELECT * FROM supplier",
+    "src_json_roundtrip": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""",
+    "src_text_lines": "SELECT p_partkey, p_name FROM part",
     "select_cols": "SELECT c_name, c_acctbal FROM customer",
     "filter_eq": "SELECT * FROM part WHERE p_size = 40",
     "filter_range": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 30",

@@ -61,3 +61,19 @@ def test_entry_smoke(spark):
 
 def test_oracle_keys_are_queries():
     assert set(oracle_sql()) <= set(queries())
+
+
+def test_lookup_above_bound_is_not_broadcast_hinted(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.operators import joins as jn
+    from quarry.plans.tables import table
+    c = table(spark, SF_SMALL, "customer").select("c_custkey", "c_nationkey")
+    o = table(spark, SF_SMALL, "orders").select("o_orderkey", "o_custkey")
+    assert jn.is_bounded(c, 10_000) and not jn.is_bounded(c, 10)
+    small = jn.lookup(o, c, "o_custkey", "c_custkey", max_broadcast_rows=10_000)
+    big = jn.lookup(o, c, "o_custkey", "c_custkey", max_broadcast_rows=10)
+    hinted = small._jdf.queryExecution().optimizedPlan().toString()
+    free = big._jdf.queryExecution().optimizedPlan().toString()
+    assert "BROADCAST" in hinted.upper() and "broadcast" not in free.lower()
+    assert small.count() == big.count() == o.join(c, F.col("o_custkey") == F.col("c_custkey")).count()
