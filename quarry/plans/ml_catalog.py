@@ -228,8 +228,8 @@ ORACLES: dict[str, str] = {
     "ml_tfidf": f"""
         WITH t AS (SELECT doc_id, unnest({_TOKENS}) AS term FROM documents),
              tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
-             n AS (SELECT count(*) AS n FROM documents),
-             idf AS (SELECT term, ln((n.n + 1.0) / (count(*) + 1.0)) AS idf FROM tf, n GROUP BY term, n.n)
+             idf AS (SELECT term, ln(((SELECT count(*) FROM documents) + 1.0) / (count(*) + 1.0)) AS idf
+                     FROM tf GROUP BY term)
         SELECT tf.doc_id, tf.term, tf.tf, round(idf.idf, 6) AS idf, round(tf.tf * idf.idf, 6) AS tfidf
         FROM tf JOIN idf ON tf.term = idf.term""",
     "ml_linreg": """
@@ -241,8 +241,8 @@ ORACLES: dict[str, str] = {
                AS accuracy
         FROM labels""",
     "eval_r2": """
-        WITH m AS (SELECT l_returnflag, avg(l_quantity) AS p FROM lineitem GROUP BY l_returnflag),
-             a AS (SELECT avg(l_quantity) AS mu FROM lineitem)
-        SELECT round(1 - sum((l.l_quantity - m.p) ^ 2) / sum((l.l_quantity - a.mu) ^ 2), 6) AS r2
-        FROM lineitem l JOIN m ON l.l_returnflag = m.l_returnflag, a""",
+        WITH m AS (SELECT l_returnflag, avg(l_quantity) AS p FROM lineitem GROUP BY l_returnflag)
+        SELECT round(1 - sum((l.l_quantity - m.p) ^ 2)
+                         / sum((l.l_quantity - (SELECT avg(l_quantity) FROM lineitem)) ^ 2), 6) AS r2
+        FROM lineitem l JOIN m ON l.l_returnflag = m.l_returnflag""",
 }

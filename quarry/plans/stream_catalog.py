@@ -61,11 +61,13 @@ _SLOTS = """
 
 ORACLES: dict[str, str] = {
     "stream_sliding_count": """
-        WITH w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) - k * INTERVAL 5 MINUTE AS window_start
-                   FROM events, range(3) r(k)),
-             wm AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR AS wm FROM events)
+        WITH w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) - unnest([0, 1, 2]) * INTERVAL 5 MINUTE
+                          AS window_start
+                   FROM events)
         SELECT window_start, window_start + INTERVAL 15 MINUTE AS window_end, count(*) AS count
-        FROM w, wm WHERE window_start + INTERVAL 15 MINUTE <= wm.wm
+        FROM w
+        WHERE window_start + INTERVAL 15 MINUTE
+              <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)
         GROUP BY window_start""",
     "stream_batch_count": f"WITH {_SLOTS} SELECT slot_start, n FROM z",
     "stream_last_slots": f"""
