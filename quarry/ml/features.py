@@ -37,17 +37,22 @@ def vector_columns(df: DataFrame, vector_col: str, names: Sequence[str]) -> Data
     return df.select("*", *[arr[i].alias(n) for i, n in enumerate(names)]).drop(vector_col)
 
 
-def zscore_columns(df: DataFrame, cols: Sequence[str], suffix: str = "_z") -> DataFrame:
+def zscore_columns(df: DataFrame, cols: Sequence[str], suffix: str = "_z",
+                   constant_as: float | None = None) -> DataFrame:
     """M2, column form: ``(x - mean) / sd`` with the sample sd. Mean and sd
     are scalar subqueries over one aggregate (evaluated once, no join); a
-    constant column gives null, not a division by zero."""
+    constant column gives null (or ``constant_as``, e.g. 0.0 as
+    ``StandardScaler`` does, for model input), not a division by zero."""
     stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
                    *[F.stddev_samp(c).alias(f"s_{c}") for c in cols])
     out = []
     for c in cols:
         mean = stats.select(f"m_{c}").scalar()
         sd = stats.select(f"s_{c}").scalar()
-        out.append(F.try_divide(F.col(c) - mean, F.nullif(sd, F.lit(0.0))).alias(f"{c}{suffix}"))
+        z = F.try_divide(F.col(c) - mean, F.nullif(sd, F.lit(0.0)))
+        if constant_as is not None:
+            z = F.when(F.col(c).isNotNull(), F.coalesce(z, F.lit(float(constant_as))))
+        out.append(z.alias(f"{c}{suffix}"))
     return df.select("*", *out)
 
 

@@ -144,7 +144,7 @@ def compare_classifiers(credit: DataFrame, features: Sequence[str] = CLASSIFIER_
 def clusters(credit: DataFrame, features: Sequence[str] = CLUSTER_FEATURES, k: int = 4,
              seed: int = 1) -> dict[str, DataFrame]:
     """Centre and scale (sample sd), k-means; group sizes and assignments."""
-    z = fe.zscore_columns(credit.select("CustId", *features), list(features))
+    z = fe.zscore_columns(credit.select("CustId", *features), list(features), constant_as=0.0)
     v = fe.assemble(z, [f"{c}_z" for c in features])
     pred = mo.kmeans(v, "features", k=k, seed=seed).transform(v)
     return {"sizes": agg.group_count(pred, "prediction"),

@@ -45,6 +45,7 @@ def test_zscore_has_mean_zero_sd_one(spark):
 def test_zscore_constant_column_is_null(spark):
     df = spark.createDataFrame([(1.0,), (1.0,)], "c double")
     assert fe.zscore_columns(df, ["c"]).first().c_z is None
+    assert fe.zscore_columns(df, ["c"], constant_as=0.0).first().c_z == 0.0
 
 
 def test_rate_report_rollup_equals_direct_join(spark):
