@@ -42,7 +42,11 @@ def spread(df: DataFrame, min_partitions: int | None = None, keys: tuple[str, ..
     and term) then needs no exchange of its own, and the exchange is
     deterministic, so Spark can reuse it across branches of one plan.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session): leave as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)

@@ -34,12 +34,13 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "quarr
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", driver_memory))
-    for k, v in {**LOCAL_CONF, **(extra or {})}.items():
+    conf = {**LOCAL_CONF, **(extra or {})}
+    if checkpoint_dir:
+        conf.setdefault(CHECKPOINT_CONF, checkpoint_dir)
+    for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if checkpoint_dir and not spark.conf.get(CHECKPOINT_CONF, None):
-        spark.conf.set(CHECKPOINT_CONF, checkpoint_dir)
     return spark
 
 
