@@ -34,10 +34,12 @@ def _labelled_docs(spark, d):
 
 @query("ml_assemble")
 def q_ml_assemble(spark, d):
-    li = table(spark, d, "lineitem")
-    v = fe.assemble(li, ["l_quantity", "l_discount", "l_tax"])
-    return v.select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("label"),
-                    vector_to_array("features").alias("features"))
+    cols = ["l_quantity", "l_discount", "l_tax"]
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", *cols)
+    v = fe.assemble(li, cols).select("l_orderkey", "l_linenumber",
+                                     F.col("l_extendedprice").alias("label"), "features")
+    # the vector's elements as plain columns (sinks and SQL read them)
+    return fe.vector_columns(v, "features", [f"x_{c}" for c in cols])
 
 
 @query("zscore")
@@ -200,6 +202,10 @@ _TOKENS = (f"CASE WHEN text = '' THEN [''] WHEN {_LOW} = '' THEN []::VARCHAR[] "
            f"ELSE regexp_split_to_array({_LOW}, '{_WS}') END")
 
 ORACLES: dict[str, str] = {
+    "ml_assemble": """
+        SELECT l_orderkey, l_linenumber, l_extendedprice AS label, l_quantity AS x_l_quantity,
+               l_discount AS x_l_discount, l_tax AS x_l_tax
+        FROM lineitem""",
     "zscore": """
         SELECT p_partkey,
                round((p_size - (SELECT avg(p_size) FROM part)) / (SELECT stddev_samp(p_size) FROM part), 6) AS z_size,
