@@ -117,19 +117,16 @@ def r2(pred: DataFrame, label: str = "label", prediction: str = "prediction",
 def r2_of_group_means(df: DataFrame, label: str, keys: Sequence[str], name: str = "r2") -> DataFrame:
     """M17 for the prediction "mean label of the row's group", without joining
     the means back: ``SS_res = sum_g n_g * var_pop_g`` and
-    ``SS_tot = N * var_pop``. One grouped aggregate (partial, map-side) and a
-    roll-up of one row per group; a group holding a third of the rows costs
-    nothing extra, where a join back on the group key would be skewed."""
+    ``SS_tot = N * var_pop``. One scan: grouping sets give the per-group and
+    the overall moments from the same partial (map-side) aggregate, so a group
+    holding a third of the rows costs nothing extra, where a join back on the
+    group key would be skewed."""
     y = F.col(label).cast("double")
-    groups = df.groupBy(*keys).agg(F.count(y).alias("_n"), F.var_pop(y).alias("_v"),
-                                   F.avg(y).alias("_m"))
-    # SS_tot from the group parts: sum_g [n_g var_g + n_g (mean_g - mean)^2];
-    # the overall mean is a scalar subquery over the (small) group table
-    mean = groups.select(F.try_divide(F.sum(F.col("_n") * F.col("_m")), F.sum("_n"))).scalar()
-    parts = groups.select((F.col("_n") * F.col("_v")).alias("_res"),
-                          (F.col("_n") * (F.col("_m") - mean) ** 2).alias("_between"))
-    return parts.agg((F.lit(1.0) - F.try_divide(F.sum("_res"), F.sum("_res") + F.sum("_between")))
-                     .alias(name))
+    moments = (df.groupingSets([list(keys), []], *keys)
+               .agg(F.grouping_id().alias("_gid"), F.count(y).alias("_n"), F.var_pop(y).alias("_v")))
+    ss = F.col("_n") * F.col("_v")
+    return moments.agg((F.lit(1.0) - F.try_divide(F.sum(F.when(F.col("_gid") == 0, ss)),
+                                                   F.sum(F.when(F.col("_gid") != 0, ss)))).alias(name))
 
 
 def compare_classifiers(train: DataFrame, test: DataFrame,
