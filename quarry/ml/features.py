@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (IDF, PCA, HashingTF, IndexToString, StandardScaler, StringIndexer,
                                 Tokenizer, VectorAssembler)
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -101,13 +102,19 @@ def tokenizer_stage(input_col: str, output: str = "tokens") -> Tokenizer:
     return Tokenizer(inputCol=input_col, outputCol=output)
 
 
+def fit_hashed_tfidf(train: DataFrame, tokens_col: str = "tokens", output: str = "tfidf",
+                     num_features: int = 1 << 18) -> PipelineModel:
+    """M7 + M8 as vectors: hashed term frequencies and an IDF fitted on
+    ``train`` only. Apply the model to any part (it adds ``_tf`` and ``output``)."""
+    return Pipeline(stages=[HashingTF(inputCol=tokens_col, outputCol="_tf", numFeatures=num_features),
+                            IDF(inputCol="_tf", outputCol=output)]).fit(train)
+
+
 def hashed_tfidf(train: DataFrame, apply_to: DataFrame, tokens_col: str = "tokens",
                  output: str = "tfidf", num_features: int = 1 << 18):
-    """M7 + M8 as vectors: hashed term frequencies, IDF fitted on ``train``
-    only and applied to ``apply_to``. Returns (frame, idf model)."""
-    tf = HashingTF(inputCol=tokens_col, outputCol="_tf", numFeatures=num_features)
-    idf = IDF(inputCol="_tf", outputCol=output).fit(tf.transform(train))
-    return idf.transform(tf.transform(apply_to)).drop("_tf"), idf
+    """Fit on ``train``, apply to ``apply_to``. Returns (frame, fitted model)."""
+    model = fit_hashed_tfidf(train, tokens_col, output, num_features)
+    return model.transform(apply_to).drop("_tf"), model
 
 
 def term_frequencies(df: DataFrame, doc_col: str, tokens_col: str) -> DataFrame:

@@ -108,10 +108,9 @@ def q_ml_text_pipeline(spark, d):
 def q_ml_naive_bayes(spark, d):
     labelled = fe.tokenize(_labelled_docs(spark, d), "text")
     train, test = sets.split_by_key(labelled, ["doc_id"], 0.7, seed=SEED)
-    train_v, idf = fe.hashed_tfidf(train, train)
-    test_v = idf.transform(fe.HashingTF(inputCol="tokens", outputCol="_tf",
-                                        numFeatures=1 << 18).transform(test)).drop("_tf")
-    model = mo.naive_bayes(train_v, "tfidf", "label")
+    tfidf = fe.fit_hashed_tfidf(train)  # IDF sees the training part only
+    model = mo.naive_bayes(tfidf.transform(train), "tfidf", "label")
+    test_v = tfidf.transform(test)
     return mo.with_predictions(model, test_v, ["doc_id", "label"])
 
 

@@ -7,7 +7,6 @@ the shared folder) and returns the landed result as a batch frame.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
 from ..operators import layout

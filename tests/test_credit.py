@@ -3,7 +3,6 @@
 import random
 
 import pandas as pd
-from pyspark.sql import functions as F
 
 from quarry.plans import credit
 
