@@ -57,8 +57,8 @@ ORACLES: dict[str, str] = {
         FROM part""",
     "recode_binary": """
         SELECT p_partkey,
-               CASE WHEN contains(p_name, 'ring') THEN 0.0 ELSE 1.0 END AS name_code,
-               CASE WHEN contains(p_type, 'ECONOMY') THEN 0.0 ELSE 1.0 END AS type_code
+               CASE WHEN contains(p_name, 'ring') THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS name_code,
+               CASE WHEN contains(p_type, 'ECONOMY') THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS type_code
         FROM part""",
     "recode_map": """
         SELECT o_orderkey,
@@ -136,7 +136,7 @@ ORACLES: dict[str, str] = {
     "agg_count": "SELECT count(*) AS n FROM lineitem",
     "agg_sum": "SELECT CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM lineitem",
     "agg_argmin": """
-        SELECT text AS shortest, length(text) AS length FROM documents
+        SELECT text AS shortest, CAST(length(text) AS INTEGER) AS length FROM documents
         ORDER BY length(text), text LIMIT 1""",
     "agg_int_avg": """
         SELECT CAST(sum(CAST(l_quantity AS BIGINT)) // count(*) AS BIGINT) AS avg FROM lineitem""",
