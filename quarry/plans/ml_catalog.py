@@ -96,8 +96,8 @@ def q_ml_tfidf(spark, d):
     return t.select("doc_id", "term", "tf", r6(F.col("idf")).alias("idf"), r6(F.col("tfidf")).alias("tfidf"))
 
 
-@query("ml_text_pipeline")
-def q_ml_text_pipeline(spark, d):
+@query("ml_text_classifier")
+def q_ml_text_classifier(spark, d):
     labelled = _labelled_docs(spark, d)
     train, test = sets.split_by_key(labelled, ["doc_id"], 0.7, seed=SEED)
     model = mo.text_classifier("text", "label").fit(train)
