@@ -86,3 +86,20 @@ def test_top_k_is_ordered_and_repeatable(spark):
     a = [r.o_orderkey for r in sets.top_k(o, 5, order).collect()]
     b = [r.o_orderkey for r in sets.top_k(o.repartition(5), 5, order).collect()]
     assert a == b and len(a) == 5
+
+
+def test_single_row_column(spark):
+    """FIXTURES 5: a column with one row has no sample sd: z-scores, moments
+    and correlations are null, not errors."""
+    df = spark.createDataFrame([(2.0, 3.0)], "x double, y double")
+    assert fe.zscore_columns(df, ["x"]).first().x_z is None
+    m = agg.moments(df, ["x"]).first()
+    assert m.x_mean == 2.0 and m.x_sd is None
+    assert agg.corr_with_label(df, "y", ["x"]).first().corr is None
+
+
+def test_empty_input_gives_one_row_aggregates(spark):
+    df = spark.createDataFrame([], "v int")
+    assert agg.count_rows(df).first().n == 0
+    assert agg.total(df, "v").first().total is None
+    assert agg.count_above_mean(df, "v").first().n_above == 0
