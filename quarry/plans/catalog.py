@@ -115,7 +115,9 @@ def q_src_text_lines(spark, d):
     header; every header copy is dropped, fields are split out."""
     part = table(spark, d, "part").select("p_partkey", "p_name")
     path = _scratch_dir(spark, "part-text")
-    sinks.write_delimited(part.repartition(4), path, sep="|", header=True)
+    # several part files, each with its own header line (spread is a no-op
+    # on a large input, which is written in many files anyway)
+    sinks.write_delimited(layout.spread(part), path, sep="|", header=True)
     lines = flt.drop_header(files.read_lines(spark, path), "value", "p_partkey|p_name")
     return lines.select(qf.field("value", "|", 0).cast("bigint").alias("p_partkey"),
                         qf.field("value", "|", 1).alias("p_name"))
