@@ -129,8 +129,10 @@ def inverse_document_frequency(tf: DataFrame, doc_col: str, n_docs) -> DataFrame
     """(term, idf) with the smoothed rule ``ln((N + 1) / (df + 1))`` of ML's IDF.
     ``n_docs`` is a Column (e.g. a scalar subquery) or a number."""
     n = n_docs if not isinstance(n_docs, (int, float)) else F.lit(n_docs)
-    # counting rows with tf > 0 (all of them) keeps the TF aggregate itself in
-    # this plan, so Spark reuses the TF exchange instead of tokenising twice
+    # documents holding the term = TF rows with tf > 0 (all of them). Keeping
+    # the TF aggregate in this branch makes it identical to the TF side: with
+    # AQE off Spark reuses that exchange; with AQE on (Spark 4.1) it does not,
+    # and the TF side is computed twice (noted in PLANS.md).
     return (tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
             .select("term", F.log((n + F.lit(1)) / (F.col("df") + F.lit(1))).alias("idf")))
 

@@ -39,8 +39,7 @@ def spread(df: DataFrame, min_partitions: int | None = None, keys: tuple[str, ..
 
     With ``keys`` the rows are hash-partitioned on them instead of dealt
     round robin: a later grouping that includes the keys (e.g. per document
-    and term) then needs no exchange of its own, and the exchange is
-    deterministic, so Spark can reuse it across branches of one plan.
+    and term) then needs no exchange of its own.
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
