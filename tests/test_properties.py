@@ -103,3 +103,20 @@ def test_empty_input_gives_one_row_aggregates(spark):
     assert agg.count_rows(df).first().n == 0
     assert agg.total(df, "v").first().total is None
     assert agg.count_above_mean(df, "v").first().n_above == 0
+
+
+def test_cached_releases_after_use(spark):
+    from quarry.operators import layout
+    df = table(spark, SF_SMALL, "orders").select("o_orderkey")
+    with layout.cached(df) as c:
+        assert c.is_cached and c.count() == c.count()
+    assert not df.is_cached
+
+
+def test_spread_only_when_input_is_small(spark):
+    from quarry.operators import layout
+    one = table(spark, SF_SMALL, "orders")
+    assert one.rdd.getNumPartitions() == 1
+    assert layout.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(0, 100, numPartitions=16)
+    assert layout.spread(many) is many
