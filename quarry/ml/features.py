@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import explode_words, tokens_regex
+from ..session import checkpoint_root
 
 
 
@@ -129,23 +130,29 @@ def inverse_document_frequency(tf: DataFrame, doc_col: str, n_docs) -> DataFrame
     """(term, idf) with the smoothed rule ``ln((N + 1) / (df + 1))`` of ML's IDF.
     ``n_docs`` is a Column (e.g. a scalar subquery) or a number."""
     n = n_docs if not isinstance(n_docs, (int, float)) else F.lit(n_docs)
-    # documents holding the term = TF rows with tf > 0 (all of them). Keeping
-    # the TF aggregate in this branch makes it identical to the TF side: with
-    # AQE off Spark reuses that exchange; with AQE on (Spark 4.1) it does not,
-    # and the TF side is computed twice (noted in PLANS.md).
+    # documents holding the term = TF rows with tf > 0 (all of them)
     return (tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
             .select("term", F.log((n + F.lit(1)) / (F.col("df") + F.lit(1))).alias("idf")))
 
 
 def tfidf_long(docs: DataFrame, doc_col: str, tokens_col: str,
-               fit_docs: DataFrame | None = None, n_docs=None) -> DataFrame:
+               fit_docs: DataFrame | None = None, n_docs=None,
+               materialize: bool = True) -> DataFrame:
     """M7 + M8 in long form, exact (no hashing): (doc, term, tf, idf, tfidf).
 
     Document frequencies come from ``fit_docs`` (the training part) when
-    given; ``n_docs`` (a number or scalar Column) may give its size. The idf table has one row per term and is derived, so its size is
+    given; ``n_docs`` (a number or scalar Column) may give its size. With
+    ``materialize`` the TF table is checkpointed to ``spark.checkpoint.dir``. The idf table has one row per term and is derived, so its size is
     checked at run time by AQE: broadcast when the shuffled vocabulary is
     small, otherwise a sort-merge join whose hot-term partitions AQE splits."""
     tf = term_frequencies(docs, doc_col, tokens_col)
+    if materialize:
+        # the TF table feeds both the document frequencies and the output;
+        # written once to the shared checkpoint folder it is tokenised once
+        # (AQE does not reuse the identical exchange) and its lineage is cut,
+        # so a lost executor never sends the job back to the raw text
+        checkpoint_root(docs.sparkSession)
+        tf = tf.checkpoint(eager=True)
     fit = fit_docs if fit_docs is not None else docs
     fit_tf = tf if fit_docs is None else term_frequencies(fit_docs, doc_col, tokens_col)
     if n_docs is None:
