@@ -39,10 +39,14 @@ def running_word_count(stream: DataFrame, text: str = "value", sep: str = " ") -
 
 
 def slot_of(ts: Column, slot_seconds: int) -> Column:
-    """Start of the fixed ``slot_seconds`` slot (aligned to the epoch) holding
-    ``ts``, as ``timestamp_ntz``; exact integer arithmetic on microseconds."""
-    us = F.unix_micros(ts.cast("timestamp"))
-    return F.timestamp_micros(us - F.pmod(us, F.lit(slot_seconds * 1_000_000))).cast("timestamp_ntz")
+    """Start of the fixed ``slot_seconds`` slot holding ``ts``, as
+    ``timestamp_ntz``: midnight of the value's own wall clock plus whole slots.
+    For a ``timestamp_ntz`` column no time zone enters (no DST gaps or
+    repeated hours); ``slot_seconds`` must divide a day."""
+    secs = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    start = F.floor(secs / F.lit(slot_seconds)) * F.lit(slot_seconds)
+    offset = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), start.cast("decimal(18,6)"))
+    return (F.date_trunc("day", ts) + offset).cast("timestamp_ntz")
 
 
 def all_slots(landed: DataFrame, ts: str, slot_seconds: int) -> DataFrame:
