@@ -77,3 +77,24 @@ def test_lookup_above_bound_is_not_broadcast_hinted(spark):
     free = big._jdf.queryExecution().optimizedPlan().toString()
     assert "BROADCAST" in hinted.upper() and "broadcast" not in free.lower()
     assert small.count() == big.count() == o.join(c, F.col("o_custkey") == F.col("c_custkey")).count()
+
+
+def test_flagship_at_scale_shuffles_each_side_once(spark):
+    """With no broadcasts (tables too big), the flagship shuffles: line-item
+    partials by order, orders, per-customer partials, customer, segment
+    partials - and nothing twice: each aggregate feeds its join directly."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        text = plan(queries()["rate_by_one"](spark, SF_SMALL))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    keys = sorted(m.split("(")[1].split("#")[0]
+                  for m in text.split("Exchange hashpartitioning")[1:])
+    assert keys == ["c_custkey", "c_mktsegment", "l_orderkey", "o_custkey", "o_orderkey"]
+    assert text.count("SortMergeJoin") == 2
