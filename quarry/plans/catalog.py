@@ -8,6 +8,7 @@ engines' summation orders cannot tell them apart.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from ..operators import aggregates as agg
 from ..operators import filters as flt
 from ..operators import joins as jn
 from ..operators import layout, sets
+from ..session import scratch_path
 from ..sources import files, sinks, typed
 from . import reports
 from .tables import table
@@ -76,8 +78,6 @@ def q_sql_filter(spark, d):
 
 def _scratch_dir(spark, label):
     """A fresh folder below the shared checkpoint root for a round trip."""
-    import uuid
-    from ..session import scratch_path
     return scratch_path(spark, "roundtrip", f"{label}-{uuid.uuid4().hex[:12]}")
 
 
@@ -105,7 +105,7 @@ def q_src_json_roundtrip(spark, d):
     """S3: JSON lines with a declared schema."""
     o = table(spark, d, "orders").drop("o_orderdate")
     path = _scratch_dir(spark, "orders-json")
-    o.write.mode("errorifexists").json(path)
+    sinks.write_json_lines(o, path)
     return typed.valid_rows(files.read_json_lines(spark, path, o.schema))
 
 

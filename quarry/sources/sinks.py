@@ -26,6 +26,11 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = Tru
     df.write.mode(mode).option("sep", sep).option("header", str(header).lower()).csv(path)
 
 
+def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """JSON lines, one object per row (the form ``read_json_lines`` reads)."""
+    df.write.mode(mode).json(path)
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                 mode: str = "errorifexists", fmt: str = "parquet",
                 max_records_per_file: int | None = None) -> None:
