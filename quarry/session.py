@@ -34,16 +34,28 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "quarr
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", driver_memory))
-    conf = {**LOCAL_CONF, **(extra or {})}
-    if checkpoint_dir:
-        conf.setdefault(CHECKPOINT_CONF, checkpoint_dir)
-    for k, v in conf.items():
+    for k, v in {**LOCAL_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    # the environment's spark.checkpoint.dir wins; ours only fills a gap
+    if checkpoint_dir and not spark.conf.get(CHECKPOINT_CONF, None):
+        _use_local_root(spark, checkpoint_dir)
     return spark
 
 
+# Local fallback roots by application: spark.checkpoint.dir cannot be set on
+# a running session (Spark refuses to modify it), so it is remembered here.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
+def _use_local_root(spark: SparkSession, root: str) -> None:
+    sc = spark.sparkContext
+    _LOCAL_ROOTS[sc.applicationId] = root
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(os.path.join(root, "rdd"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -51,14 +63,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     its own (tests); a cluster job without the setting is refused, because a
     machine-local folder does not survive the loss of an executor.
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None)
+    sc = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_CONF, None) or _LOCAL_ROOTS.get(sc.applicationId)
     if not root:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder for cluster runs")
         root = tempfile.mkdtemp(prefix="quarry-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, root)
-    sc = spark.sparkContext
+        _use_local_root(spark, root)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(os.path.join(root, "rdd"))
     return root
