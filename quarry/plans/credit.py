@@ -113,16 +113,20 @@ def unmatched_codes(spark: SparkSession, credit: DataFrame) -> DataFrame:
     return agg.group_count(u, "lookup", name="rows")
 
 
-def reports(enriched: DataFrame) -> dict[str, DataFrame]:
+def reports(enriched: DataFrame, pay_delay_decimals: int | None = None) -> dict[str, DataFrame]:
     """The three rate reports: by gender; by marriage and education; by
-    average payment delay (ordered as the job prints them)."""
+    average payment delay (ordered as the job prints them). The delay is an
+    unrounded average, as in the job; ``pay_delay_decimals`` rounds the key
+    first so near-equal averages fall into one group."""
     flag = F.col("Defaulted")
     names = dict(total_name="Total", flagged_name="Defaults", pct_name="PerDefault")
+    delay = enriched if pay_delay_decimals is None else \
+        enriched.withColumn("AvgPayDur", F.round("AvgPayDur", pay_delay_decimals))
     return {
         "by_gender": agg.rate_report(enriched, ["sexName"], flag, **names),
         "by_marriage_education": agg.rate_report(enriched, ["marriageName", "eduName"], flag, **names)
         .orderBy("marriageName", "eduName"),
-        "by_pay_delay": agg.rate_report(enriched, ["AvgPayDur"], flag, **names).orderBy("AvgPayDur"),
+        "by_pay_delay": agg.rate_report(delay, ["AvgPayDur"], flag, **names).orderBy("AvgPayDur"),
     }
 
 

@@ -3,6 +3,7 @@
 import random
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from quarry.plans import credit
 
@@ -70,6 +71,9 @@ def test_credit_job(spark):
         assert rep[name] == (n, s, float(int(s * 100 / n + 0.5)))
     rows2 = job.reports["by_marriage_education"].collect()
     assert [(r.marriageName, r.eduName) for r in rows2] == sorted((r.marriageName, r.eduName) for r in rows2)
+    exact = credit.reports(job.enriched)["by_pay_delay"].count()
+    coarse = credit.reports(job.enriched, pay_delay_decimals=0)["by_pay_delay"]
+    assert coarse.count() <= exact and coarse.agg(F.sum("Total")).first()[0] == len(kept)
     corr = {r.field: r.corr for r in job.correlations.collect()}
     assert abs(corr["Defaulted"] - 1.0) < 1e-12
     assert abs(corr["AvgPayDur"] - exp.Defaulted.corr(exp.AvgPayDur)) < 1e-9
