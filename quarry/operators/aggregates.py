@@ -97,7 +97,8 @@ def conditional_counts(df: DataFrame, conditions: Mapping[str, Column]) -> DataF
 
 def count_above_mean(df: DataFrame, value: ColumnOrName, name: str = "n_above") -> DataFrame:
     """Rows whose value exceeds the table's own mean; the mean is a
-    scalar subquery, evaluated once and pushed as a filter value."""
+    scalar subquery (a one-row aggregate, no join), which Spark also pushes
+    into the Parquet scan as a filter value for row-group skipping."""
     v = _c(value)
     mean = df.select(F.avg(v)).scalar()
     return df.where(v > mean).agg(F.count(F.lit(1)).alias(name))

@@ -77,8 +77,9 @@ def unmatched(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Replicate the values of a one-row frame (a global aggregate) to
-    every row, as scalar subqueries. Catalyst evaluates them once and merges
-    subqueries over the same plan into one job; no join is planned."""
+    every row, as scalar subqueries; no join is planned. Subqueries over the
+    same aggregate are merged by Spark (z-scores of two columns, four
+    subqueries, ran as one extra job)."""
     return df.select("*", *[one_row.select(c).scalar().alias(c) for c in one_row.columns])
 
 
