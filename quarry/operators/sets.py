@@ -27,13 +27,22 @@ def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def split_bucket(keys: Sequence[ColumnOrName], seed: int = 42, buckets: int = 1000) -> Column:
-    """A stable bucket in [0, buckets) from a hash of the row's key."""
+def split_bucket(keys: Sequence[ColumnOrName], seed: int = 42, buckets: int = 1000,
+                 method: str = "xxhash64") -> Column:
+    """A stable bucket in [0, buckets) from a hash of the row's key.
+
+    ``xxhash64`` is the fast default. ``md5`` hashes the text
+    ``seed|key1|key2...`` and takes its first 32 bits: slower, but any engine
+    with md5 can tell which side a row falls on (e.g. a SQL warehouse)."""
+    if method == "md5":
+        text = F.concat_ws("|", F.lit(str(seed)), *[_c(k).cast("string") for k in keys])
+        first32 = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+        return F.pmod(first32, F.lit(buckets))
     return F.pmod(F.xxhash64(F.lit(seed), *[_c(k) for k in keys]), F.lit(buckets))
 
 
 def split_by_key(df: DataFrame, keys: Sequence[ColumnOrName], train_fraction: float = 0.7,
-                 seed: int = 42, side_name: str | None = None):
+                 seed: int = 42, side_name: str | None = None, method: str = "xxhash64"):
     """Repeatable train/test split.
 
     A row's side depends only on its key and the seed, never on partitioning
@@ -42,7 +51,7 @@ def split_by_key(df: DataFrame, keys: Sequence[ColumnOrName], train_fraction: fl
     a side column; otherwise as (train, test).
     """
     cut = int(round(train_fraction * 1000))
-    in_train = split_bucket(keys, seed) < F.lit(cut)
+    in_train = split_bucket(keys, seed, method=method) < F.lit(cut)
     if side_name:
         return df.withColumn(side_name, F.when(in_train, F.lit("train")).otherwise(F.lit("test")))
     return df.where(in_train), df.where(~in_train)

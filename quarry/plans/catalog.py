@@ -482,7 +482,8 @@ def q_top_k(spark, d):
 @query("split_by_key")
 def q_split_by_key(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    return sets.split_by_key(o, ["o_orderkey"], 0.7, seed=42, side_name="side")
+    # the engine-portable hash, so SQL elsewhere can reproduce each row's side
+    return sets.split_by_key(o, ["o_orderkey"], 0.7, seed=42, side_name="side", method="md5")
 
 
 # --- 2.10 layout ----------------------------------------------------------------

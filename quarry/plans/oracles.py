@@ -196,6 +196,11 @@ ORACLES: dict[str, str] = {
         SELECT c_nationkey AS nationkey FROM customer UNION SELECT s_nationkey FROM supplier""",
     "intersect_set": """
         SELECT c_nationkey AS nationkey FROM customer INTERSECT SELECT s_nationkey FROM supplier""",
+    "split_by_key": """
+        SELECT o_orderkey, o_totalprice,
+               CASE WHEN CAST(('0x' || substr(md5(concat_ws('|', '42', CAST(o_orderkey AS VARCHAR))), 1, 8))
+                              AS BIGINT) % 1000 < 700 THEN 'train' ELSE 'test' END AS side
+        FROM orders""",
     "top_k": """
         SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""",
 }

@@ -120,3 +120,14 @@ def test_spread_only_when_input_is_small(spark):
     assert layout.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(0, 100, numPartitions=16)
     assert layout.spread(many) is many
+
+
+def test_md5_split_is_reproducible_outside_spark(spark):
+    import hashlib
+    o = table(spark, SF_SMALL, "orders").select("o_orderkey")
+    got = {r.o_orderkey: r.b for r in o.select("o_orderkey", sets.split_bucket(["o_orderkey"], 42, method="md5")
+                                               .alias("b")).collect()}
+    for key, bucket in list(got.items())[:200]:
+        assert bucket == int(hashlib.md5(f"42|{key}".encode()).hexdigest()[:8], 16) % 1000
+    a, b = sets.split_by_key(o, ["o_orderkey"], 0.7, seed=42, method="md5")
+    assert a.count() + b.count() == o.count() and a.join(b, "o_orderkey").count() == 0
