@@ -25,10 +25,12 @@ DEFAULT_BROADCAST_ROWS = 100_000
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    ``take`` scans partitions incrementally and stops at ``max_rows + 1``
-    empty rows, so the check costs at most that many rows, never a full scan.
+    ``offset(max_rows).isEmpty()`` scans partitions incrementally in the JVM
+    and stops once row ``max_rows + 1`` is seen, so the check reads at most
+    that many rows, never the whole table, and returns at most one row to
+    the driver.
     """
-    return len(df.select().take(max_rows + 1)) <= max_rows
+    return df.select().offset(max_rows).isEmpty()
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

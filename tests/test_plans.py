@@ -32,8 +32,20 @@ def test_prefix_filter_pushed(spark):
     assert "StringStartsWith(p_brand,Brand#1)" in text
 
 
+def _tables(spark):
+    from quarry.plans.tables import table
+    return [table(spark, SF_SMALL, t) for t in ("lineitem", "orders", "customer")]
+
+
+def test_flagship_small_dimensions_never_shuffle_line_items(spark):
+    text = plan(queries()["rate_by_one"](spark, SF_SMALL))  # orders, customer are small here
+    assert text.count("BroadcastHashJoin") == 2
+    assert "hashpartitioning(l_orderkey" not in text
+
+
 def test_flagship_aggregates_before_joins(spark):
-    df = queries()["rate_by_one"](spark, SF_SMALL)
+    from quarry.plans import reports
+    df = reports.segment_rates(*_tables(spark), max_broadcast_rows=0)  # the large-table path
     optimized = df._jdf.queryExecution().optimizedPlan().toString()
     # the lineitem scan feeds an aggregate by order key, not a join
     lines = optimized.splitlines()
@@ -90,7 +102,8 @@ def test_flagship_at_scale_shuffles_each_side_once(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        text = plan(queries()["rate_by_one"](spark, SF_SMALL))
+        from quarry.plans import reports
+        text = plan(reports.segment_rates(*_tables(spark), max_broadcast_rows=0))
     finally:
         for k, v in old.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)

@@ -50,10 +50,11 @@ def test_zscore_constant_column_is_null(spark):
 
 def test_rate_report_rollup_equals_direct_join(spark):
     li, o, c = (table(spark, SF_SMALL, t) for t in ("lineitem", "orders", "customer"))
-    fast = reports.segment_rates(li, o, c, order_keys=["o_orderpriority"])
     joined = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
     slow = agg.rate_report(joined, ["c_mktsegment", "o_orderpriority"], F.col("l_returnflag") == "R")
-    assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
+    for bound in (0, 10_000_000):  # pre-aggregation path, broadcast path
+        fast = reports.segment_rates(li, o, c, order_keys=["o_orderpriority"], max_broadcast_rows=bound)
+        assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
     # per-key sums add up to the total
     assert fast.agg(F.sum("total")).first()[0] == joined.count()
 
