@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.plans.tables import table
 
-from . import exact_dedup, mixing, pieces, simhash
+from . import exact_dedup, mixing, pieces, secrets, simhash
 
 #: The vocabulary file of operators 9 and 10 (a parameter of both).
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
@@ -26,11 +26,15 @@ def op7_simhash_groups(spark, sf_dir):
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_secrets(spark, sf_dir):
+    return secrets.secret_spans(table(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark, sf_dir):
     return pieces.encode_decode(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op6_pareto_mix, op7_simhash_groups, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op6_pareto_mix, op7_simhash_groups, op8_secrets, op10_sentencepiece)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
