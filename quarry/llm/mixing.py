@@ -23,6 +23,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_COPIES = 2
 BINS = 1 << 14
+SALTS = 64  # parts into which the documents of one source are dealt for the joins with its facts
 
 
 def words(text: Column) -> Column:
@@ -77,15 +78,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")))
     plan = plan.select(*[F.col(c).alias(f"p_{c}") for c in ("source", "source_size", "target", "whole", "part", "rest")])
 
-    def ranked(df: DataFrame) -> DataFrame:
-        """With the plan of the row's source, its ranking variable q and bin."""
+    def ranked(df: DataFrame, facts: DataFrame) -> DataFrame:
+        """With the facts of the row's source, its ranking variable q and bin. Documents
+        of a source are salted by id, and the source's one row of facts is repeated per salt."""
         u = uniform(F.col("id"), seed)
         q = (u / (1 - u)) / (F.col("p_part") / (1 - F.col("p_part")))
-        return (df.join(plan, F.col("source").eqNullSafe(F.col("p_source")))
+        salted = facts.withColumn("p_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        return (df.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+                .join(salted, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("salt") == F.col("p_salt")))
                 .withColumn("q", F.when(F.col("p_part") > 0, q))
                 .withColumn("bin", F.floor(F.col("q") / (1 + F.col("q")) * BINS)))
 
-    inner = ranked(narrow).where("q is not null")
+    inner = ranked(narrow, plan).where("q is not null")
     sums = inner.groupBy("p_source", "p_rest", "bin").agg(F.sum("size").alias("words"))
     upto = F.sum("words").over(Window.partitionBy("p_source").orderBy("bin"))
     cut_bin = (sums.withColumn("upto", upto).where("upto >= p_rest").groupBy("p_source")
@@ -100,12 +104,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             .select(F.col("p_source").alias("l_source"), "last"))
     cuts = (cut_bin.join(last, F.col("b_source").eqNullSafe(F.col("l_source")), "left")
             .select("b_source", "cut_bin", "last"))
+    facts = plan.join(cuts, F.col("p_source").eqNullSafe(F.col("b_source")), "left")
 
     row_key = F.struct(*key)
     taken = F.col("q").isNotNull() & (F.col("cut_bin").isNull() | (F.col("bin") < F.col("cut_bin")) |
                                       ((F.col("bin") == F.col("cut_bin")) & F.coalesce(row_key <= F.col("last"), F.lit(False))))
-    out = ranked(sized).join(cuts, F.col("p_source").eqNullSafe(F.col("b_source")), "left")
-    return out.select("row", F.col("id").alias("doc_id"), "size", F.col("p_source_size").alias("source_size"), F.col("p_target").alias("target"),
+    return ranked(sized, facts).select("row", F.col("id").alias("doc_id"), "size", F.col("p_source_size").alias("source_size"), F.col("p_target").alias("target"),
                       (F.col("p_whole") + taken.cast("long")).alias("copies"))
 
 
