@@ -7,16 +7,28 @@ from pyspark.sql import functions as F
 
 from quarry.plans.tables import table
 
-from . import exact_dedup, mixing, pieces, secrets, simhash
+from . import ann, exact_dedup, mixing, pieces, secrets, simhash, toxicity, warc
 
 #: The vocabulary file of operators 9 and 10 (a parameter of both).
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_collision_hashing(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op5_warc(spark, sf_dir):
+    return warc.roundtrip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_pareto_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -34,7 +46,7 @@ def op10_sentencepiece(spark, sf_dir):
     return pieces.encode_decode(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op6_pareto_mix, op7_simhash_groups, op8_secrets, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_exact_dedup, op3_collision_hashing, op5_warc, op6_pareto_mix, op7_simhash_groups, op8_secrets, op10_sentencepiece)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
@@ -42,6 +54,13 @@ ORACLES = {
              g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.t) AS text_sha256
         FROM d JOIN g ON d.t = g.t""",
+    "op5_warc": r"""
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+             d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS payload_digest FROM p),
+             l AS (SELECT payload_digest, max(page_id) AS last FROM d WHERE payload_bytes >= 1000 GROUP BY payload_digest HAVING count(*) > 1)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id <> last THEN last END AS refers_to
+        FROM d LEFT JOIN l USING (payload_digest)""",
     "op6_pareto_mix": r"""
         WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
              s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
