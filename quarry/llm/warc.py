@@ -241,8 +241,9 @@ def read_packages(spark: SparkSession, path: str) -> DataFrame:
                     if held:
                         yield pa.RecordBatch.from_pylist(held, SCHEMA)
 
-    # one file is one small row of this frame: spread the files, not their bytes
-    return files.repartition("path").mapInArrow(read, "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary")
+    # one file is one small row of this frame, too small for a fixed share of bytes to spread: a stated number of tasks does
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return files.repartition(tasks, "path").mapInArrow(read, "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary")
 
 
 SCHEMA = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
