@@ -19,12 +19,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_CHARS = 2_000_000
 
 
-def materialised(df: DataFrame, name: str) -> DataFrame:
+def materialised(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write a frame as Parquet below the shared checkpoint folder and read it
     back: lineage cut that survives the loss of any executor."""
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

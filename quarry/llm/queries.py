@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.plans.tables import table
 
-from . import ann, exact_dedup, mixing, pieces, secrets, simhash, toxicity, warc
+from . import ann, exact_dedup, lattice_lm, mixing, pieces, secrets, simhash, toxicity, warc
 
 #: The vocabulary file of operators 9 and 10 (a parameter of both).
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
@@ -42,11 +42,15 @@ def op8_secrets(spark, sf_dir):
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op9_lattice_lm(spark, sf_dir):
+    return lattice_lm.lm_scores(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 def op10_sentencepiece(spark, sf_dir):
     return pieces.encode_decode(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_exact_dedup, op3_collision_hashing, op5_warc, op6_pareto_mix, op7_simhash_groups, op8_secrets, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_exact_dedup, op3_collision_hashing, op5_warc, op6_pareto_mix, op7_simhash_groups, op8_secrets, op9_lattice_lm, op10_sentencepiece)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
