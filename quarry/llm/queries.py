@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.plans.tables import table
 
-from . import ann, exact_dedup, lattice_lm, mixing, pieces, secrets, simhash, toxicity, warc
+from . import ann, exact_dedup, lattice_lm, mixing, passages, pieces, secrets, simhash, toxicity, warc
 
 #: The vocabulary file of operators 9 and 10 (a parameter of both).
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
@@ -25,6 +25,10 @@ def op3_collision_hashing(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op4_sparse_suffixes(spark, sf_dir):
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark, sf_dir):
     return warc.roundtrip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -50,7 +54,7 @@ def op10_sentencepiece(spark, sf_dir):
     return pieces.encode_decode(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_exact_dedup, op3_collision_hashing, op5_warc, op6_pareto_mix, op7_simhash_groups, op8_secrets, op9_lattice_lm, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_exact_dedup, op3_collision_hashing, op4_sparse_suffixes, op5_warc, op6_pareto_mix, op7_simhash_groups, op8_secrets, op9_lattice_lm, op10_sentencepiece)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
