@@ -124,7 +124,7 @@ class Gains:
 
 @dataclass
 class Model:
-    """Dictionaries, window threshold and logistic curve; without dictionaries the score is the base rate."""
+    """Dictionaries, window threshold and logistic curve; without dictionaries the score is one low rate."""
 
     ordinary: bytes
     toxic: bytes
@@ -158,7 +158,8 @@ def fit(toxic: list[str], ordinary: list[str], base_rate: float | None = None) -
     """A model from texts of both labels; ``base_rate`` is the share of toxic rows outside the sample."""
     n = len(toxic) + len(ordinary)
     rate = base_rate if base_rate is not None else (len(toxic) / n if n else 0.0)
-    flat = Model(b"", b"", 1, (math.log(max(rate, 1e-6) / max(1 - rate, 1e-6)), 0.0, 0.0, 0.0))
+    low = max(1e-6, min(rate, 0.9 * THRESHOLD))  # too little to learn from: nothing is called toxic
+    flat = Model(b"", b"", 1, (math.log(low / (1 - low)), 0.0, 0.0, 0.0))
     if len(toxic) < 4 or len(ordinary) < 4:
         return flat
     measured = []
@@ -201,8 +202,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     Rows whose crc32(id as text) leaves ``held_out_rest`` modulo ``held_out_mod``
     are never learnt from. A null text is the empty text and scored as one.
-    Without labels of both kinds every score is the base rate (0 without any
-    label). The sample and the model (a few ten kB) are all that passes the
+    With fewer than four sampled rows of either label every score is the base
+    rate, kept below THRESHOLD. The sample and the model (a few ten kB) are all that passes the
     driver; scoring needs no shuffle. Empty input: no rows.
     """
     learn = crc_mod(F.col("id"), held_out_mod) != held_out_rest
