@@ -190,7 +190,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     texts = members.groupBy("text_key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count(F.lit(1)).alias("n"), F.min("n_words").alias("n_words"),
                                             F.min(F.struct("doc_id")).alias("rep"))
     kept = pass1.where("seed is not null").select("text_key", "pos", "seed")
-    shared = kept.groupBy("seed").agg(F.min("text_key").alias("a"), F.max("text_key").alias("b")).where("a <> b").select("seed")
+    # written, so that both sides of the join are dealt for it and Spark can split a seed that a third of all texts hold
+    shared = materialised(kept.groupBy("seed").agg(F.min("text_key").alias("a"), F.max("text_key").alias("b")).where("a <> b").select("seed"), "passages-shared")
     places = kept.join(shared, "seed").groupBy("text_key").agg(F.collect_set("pos").alias("places"))
     wanted = places.join(texts.select("text_key", F.col("rep.doc_id").alias("rep_id")), "text_key").select(F.col("text_key").alias("p_key"), "rep_id", "places")
     chosen = (rows.join(wanted, (F.col("text_key") == F.col("p_key")) & F.col("doc_id").eqNullSafe(F.col("rep_id")))
