@@ -217,7 +217,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     names, types = ["right", "left", "text_key", "pos", "doc_id"], [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
     suffix = materialised(chosen.mapInArrow(suffixes, "right string, left string, text_key long, pos long, doc_id long"), "passages-suffixes", "zstd")
-    order = ["right", "text_key", "pos"]  # what the range sample brings to the driver, at most a million keys
+    # the range sample brings up to a million of these keys to the driver, so only the start of the left context is among them
+    order = ["right", F.substring("left", 1, 32), "text_key", "pos"]
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = materialised(suffix.repartitionByRange(tasks, *order).sortWithinPartitions(*order).mapInArrow(_compare, FOUND_SQL), "passages-found", "zstd")
     # two rows per task: compared in one
