@@ -16,7 +16,7 @@ from .text import _c, ColumnOrName
 
 def full_match(c: ColumnOrName, pattern: str) -> Column:
     """JVM ``String.matches``: the pattern must cover the whole value."""
-    return _c(c).rlike(f"^(?:{pattern})$")
+    return _c(c).rlike(rf"\A(?:{pattern})\z")
 
 
 def recode_full_match(c: ColumnOrName, pattern: str, if_match, otherwise) -> Column:

@@ -75,17 +75,17 @@ def kmeans(df: DataFrame, features: str = "features", k: int = 4, seed: int = 1,
 
 def als(ratings: DataFrame, user: str, item: str, rating: str, rank: int = 10,
         max_iter: int = 5, reg_param: float = 0.1, seed: int = 42,
-        cold_start: str = "drop", checkpoint_interval: int = 10, blocks: int | None = None):
+        cold_start: str = "nan", checkpoint_interval: int = 10, blocks: int = 10):
     """Explicit-feedback ALS. Lineage is cut every
     ``checkpoint_interval`` iterations in the session's shared checkpoint
     folder, so a lost executor does not recompute every iteration.
 
-    ``blocks`` (user and item blocks) defaults to the cluster's parallelism:
-    ALS runs one task per block per step, and its own default of 10 would
-    leave a large cluster idle."""
-    spark = ratings.sparkSession
-    checkpoint_root(spark)
-    n = blocks or max(1, spark.sparkContext.defaultParallelism)
+    ``blocks`` is the number of user and of item blocks (ALS runs one task
+    per block and step; every rating task holds a buffer per pair of blocks, so
+    it should grow with the data, not with the cluster). Pairs with a user or
+    item unknown to the model are predicted NaN; ``cold_start="drop"`` drops them."""
+    checkpoint_root(ratings.sparkSession)
+    n = blocks
     return ALS(userCol=user, itemCol=item, ratingCol=rating, rank=rank, maxIter=max_iter,
                regParam=reg_param, seed=seed, coldStartStrategy=cold_start,
                checkpointInterval=checkpoint_interval, numUserBlocks=n,

@@ -1,14 +1,10 @@
 """Joins.
 
-Lookups against small stored code tables are broadcast, but only after their
-size is checked: ``is_bounded`` stops reading after ``max_rows + 1`` rows.
-Beyond the bound the join is left to Catalyst and AQE (sort-merge, with skew
-splitting), so a lookup that grows can never blow up executor memory.
-
-A side that is *derived* (an aggregate of a big table) is not checked this
-way, as the check would compute it twice; plain joins leave it to AQE, which
-broadcasts it only when its real shuffled size is under
-``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+Only code lists whose size the program itself fixes are broadcast on request.
+Every other side is left to Catalyst and AQE, which go by bytes: a stored table
+by its size on disk, a derived one by its real shuffled size, under
+``spark.sql.autoBroadcastJoinThreshold`` and its adaptive variant. No job runs
+while a plan is built.
 """
 
 from __future__ import annotations
@@ -18,26 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A lookup of up to this many rows is broadcast on purpose.
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``offset(max_rows).isEmpty()`` scans partitions incrementally in the JVM
-    and stops once row ``max_rows + 1`` is seen, so the check reads at most
-    that many rows, never the whole table, and returns at most one row to
-    the driver.
-    """
-    return df.select().offset(max_rows).isEmpty()
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint on a side of checked size; otherwise the side unchanged."""
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
-
-
 def join_on(left: DataFrame, right: DataFrame, left_key: str | Sequence[str],
             right_key: str | Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on differently named keys; both key columns are kept."""
@@ -51,29 +27,28 @@ def join_on(left: DataFrame, right: DataFrame, left_key: str | Sequence[str],
 
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-           how: str = "inner", keep_key: bool = False,
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, fixed_size: bool = False) -> DataFrame:
+           how: str = "inner", keep_key: bool = False, fixed_size: bool = False) -> DataFrame:
     """Code -> name enrichment; the lookup key is dropped afterwards.
 
     The lookup key is cast once to the fact key's type (a string code joined
     to a double column must not rely on implicit coercion). ``how='left'``
     keeps facts with unknown codes (null names); ``inner`` drops them.
     ``fixed_size`` marks a code table whose size the program fixes (an inline
-    list): it is broadcast without the row check.
+    list): it is broadcast.
     """
     ftype = fact.schema[fact_key].dataType.simpleString()
     d = dim.withColumn(dim_key, F.col(dim_key).try_cast(ftype))
-    d = F.broadcast(d) if fixed_size else maybe_broadcast(d, max_broadcast_rows)
+    d = F.broadcast(d) if fixed_size else d
     out = fact.join(d, fact[fact_key] == d[dim_key], how)
     return out if keep_key else out.drop(d[dim_key])
 
 
 def unmatched(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, fixed_size: bool = False) -> DataFrame:
+              fixed_size: bool = False) -> DataFrame:
     """Facts whose code has no lookup row (the rows an inner lookup loses)."""
     ftype = fact.schema[fact_key].dataType.simpleString()
     d = dim.select(F.col(dim_key).try_cast(ftype).alias("__k"))
-    d = F.broadcast(d) if fixed_size else maybe_broadcast(d, max_broadcast_rows)
+    d = F.broadcast(d) if fixed_size else d
     return fact.join(d, fact[fact_key] == d["__k"], "left_anti")
 
 

@@ -36,7 +36,8 @@ ORACLES: dict[str, str] = {
     "src_csv_roundtrip": "SELECT * FROM customer",
     "src_semicolon_roundtrip": "SELECT * FROM supplier",
     "src_json_roundtrip": """
-        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""",
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+        FROM orders""",
     "src_text_lines": "SELECT p_partkey, p_name FROM part",
     "select_cols": "SELECT c_name, c_acctbal FROM customer",
     "filter_eq": "SELECT * FROM part WHERE p_size = 40",

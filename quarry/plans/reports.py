@@ -1,8 +1,6 @@
 """Report plans over the order tables (the credit-report shape of SURVEY 2.5 A9).
 
-When the dimension tables are proven small they are broadcast; otherwise
-(the large-scale case) Catalyst does not push an aggregate below a join, so
-the plans here do it:
+Catalyst does not push an aggregate below a join, so the plans here do it:
 line items are reduced to one row per order before they meet ``orders``, and
 orders to one row per customer before they meet ``customer``. Each shuffle
 then moves a fraction of the fact rows, the per-order aggregate is already
@@ -18,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import rate_report
-from ..operators.joins import is_bounded
 
 
 def lines_per_order(lineitem: DataFrame, flag: Column) -> DataFrame:
@@ -27,35 +24,20 @@ def lines_per_order(lineitem: DataFrame, flag: Column) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("lines"), F.count_if(flag).alias("flagged")))
 
 
-# Orders and customers up to this many rows (narrow projections: two or
-# three columns) are broadcast to the line items instead.
-BROADCAST_DIM_ROWS = 2_000_000
-
-
 def segment_rates(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
                   flag: Column | None = None, keys: Sequence[str] = ("c_mktsegment",),
-                  order_keys: Sequence[str] = (),
-                  max_broadcast_rows: int = BROADCAST_DIM_ROWS) -> DataFrame:
+                  order_keys: Sequence[str] = ()) -> DataFrame:
     """Line items, flagged line items and the rounded percentage per customer
     attribute (and optionally per order attribute): the lineitem -> orders ->
     customer rate report.
 
-    When both ``orders`` and ``customer`` are proven small (a row check that
-    reads at most ``max_broadcast_rows + 1`` rows of each), they are broadcast
-    and the line items are never shuffled. Beyond that bound the line items
-    are reduced per order and the orders per customer before each join, so
-    every shuffle carries partial aggregates. ``max_broadcast_rows=0`` forces
-    that path. ``order_keys`` are columns of ``orders`` to group by as well
-    (e.g. the order priority).
+    The line items are reduced per order and the orders per customer before
+    each join, so every shuffle carries partial aggregates. ``order_keys`` are
+    columns of ``orders`` to group by as well (e.g. the order priority).
     """
     flag = F.col("l_returnflag") == F.lit("R") if flag is None else flag
     o = orders.select("o_orderkey", "o_custkey", *order_keys)
     c = customer.select("c_custkey", *keys)
-    if max_broadcast_rows > 0 and is_bounded(o, max_broadcast_rows) and is_bounded(c, max_broadcast_rows):
-        li = lineitem.select("l_orderkey", flag.alias("_flag"))
-        joined = (li.join(F.broadcast(o), li["l_orderkey"] == o["o_orderkey"])
-                  .join(F.broadcast(c), o["o_custkey"] == c["c_custkey"]))
-        return rate_report(joined, [*keys, *order_keys], F.col("_flag"))
     per_order = lines_per_order(lineitem, flag)
     per_cust = (per_order.join(o, per_order["l_orderkey"] == o["o_orderkey"])
                 .groupBy("o_custkey", *order_keys)

@@ -70,6 +70,10 @@ def parse_json_column(df: DataFrame, column: str, schema: StructType | str,
     return df.withColumn(name or column, parsed)
 
 
+# Null in delimited files; a field with nothing in it is null too, a quoted nothing is empty text.
+CSV_NULL = "\\N"
+
+
 def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: StructType,
                    sep: str = ",", header: bool = False, quote: str | None = '"') -> DataFrame:
     """Delimited text with a declared schema (CSV with or without a
@@ -78,6 +82,7 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: Struc
     reader = (spark.read.schema(_as_text(schema))
               .option("sep", sep).option("header", str(header).lower())
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+              .option("escape", '"').option("nullValue", CSV_NULL)
               .option("enforceSchema", "true"))
     if quote is not None:
         reader = reader.option("quote", quote)

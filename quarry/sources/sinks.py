@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .files import CSV_NULL
+
 
 def write_text(df: DataFrame, path: str, column: str | None = None,
                mode: str = "errorifexists") -> None:
@@ -22,8 +24,15 @@ def write_text(df: DataFrame, path: str, column: str | None = None,
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True,
                     mode: str = "errorifexists") -> None:
-    """S10, delimited form."""
-    df.write.mode(mode).option("sep", sep).option("header", str(header).lower()).csv(path)
+    """S10, delimited form, read back unchanged by ``read_delimited``: blanks,
+    empty text (a quoted nothing) and null (``CSV_NULL``), quotes and separators
+    survive. A line break inside a value would split its row on reading, so
+    such a value fails the write."""
+    safe = [F.when(F.col(f"`{n}`").rlike(r"[\r\n]"), F.raise_error(F.lit(f"line break in column {n}"))).otherwise(F.col(f"`{n}`")).alias(n)
+            if t == "string" else F.col(f"`{n}`") for n, t in df.dtypes]
+    (df.select(*safe).write.mode(mode).option("sep", sep).option("header", str(header).lower())
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+     .option("escape", '"').option("nullValue", CSV_NULL).csv(path))
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

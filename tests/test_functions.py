@@ -99,3 +99,12 @@ def test_label_threshold(spark):
     v = qf.parse_float("v")
     got = col_values(df.select(qf.label_threshold(v, 5.8433).alias("l")), "l")
     assert got == ["high", "low", "Error"]
+
+
+def test_number_and_pattern_tests_cover_the_whole_value(spark):
+    from quarry import functions as qf
+    df = spark.createDataFrame([("two\n",), ("two",), ("12\n",), ("12000000.0",), ("0.0004",)], "v string")
+    got = [tuple(r) for r in df.select(qf.recode_full_match("v", "two", "2", "4"), qf.parse_int_or_zero("v"), qf.parse_float_or_zero("v")).collect()]
+    assert got == [("4", 0, 0.0), ("2", 0, 0.0), ("4", 0, 0.0), ("4", 0, 12000000.0), ("4", 0, 0.0004)]
+    big = spark.createDataFrame([(12_000_000.0,), (4e-4,), (None,)], "x double")
+    assert [r[0] for r in big.select(qf.label_threshold(F.col("x"), F.lit(1.0))).collect()] == ["high", "low", "Error"]

@@ -4,6 +4,7 @@ pruning reach the scan, aggregates run before joins, lookups broadcast."""
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from quarry.plans.registry import all_queries
 from tests.conftest import SF_SMALL
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
@@ -15,7 +16,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(set(queries()) - STREAM_KEYS))
+@pytest.mark.parametrize("key", sorted(set(all_queries()) - STREAM_KEYS))
 def test_no_python_in_plan(spark, key):
     text = plan(queries()[key](spark, SF_SMALL))
     assert not any(n in text for n in PYTHON_NODES), f"{key} runs Python:\n{text}"
@@ -37,15 +38,9 @@ def _tables(spark):
     return [table(spark, SF_SMALL, t) for t in ("lineitem", "orders", "customer")]
 
 
-def test_flagship_small_dimensions_never_shuffle_line_items(spark):
-    text = plan(queries()["rate_by_one"](spark, SF_SMALL))  # orders, customer are small here
-    assert text.count("BroadcastHashJoin") == 2
-    assert "hashpartitioning(l_orderkey" not in text
-
-
 def test_flagship_aggregates_before_joins(spark):
     from quarry.plans import reports
-    df = reports.segment_rates(*_tables(spark), max_broadcast_rows=0)  # the large-table path
+    df = reports.segment_rates(*_tables(spark))  # the large-table path
     optimized = df._jdf.queryExecution().optimizedPlan().toString()
     # the lineitem scan feeds an aggregate by order key, not a join
     lines = optimized.splitlines()
@@ -75,20 +70,20 @@ def test_oracle_keys_are_queries():
     assert set(oracle_sql()) <= set(queries())
 
 
-def test_lookup_above_bound_is_not_broadcast_hinted(spark):
-    from pyspark.sql import functions as F
-
+def test_plans_run_no_job_while_built(spark):
+    """Lookups and the flagship only build a plan: no size check, one plan at every size."""
     from quarry.operators import joins as jn
+    from quarry.plans import reports
     from quarry.plans.tables import table
     c = table(spark, SF_SMALL, "customer").select("c_custkey", "c_nationkey")
     o = table(spark, SF_SMALL, "orders").select("o_orderkey", "o_custkey")
-    assert jn.is_bounded(c, 10_000) and not jn.is_bounded(c, 10)
-    small = jn.lookup(o, c, "o_custkey", "c_custkey", max_broadcast_rows=10_000)
-    big = jn.lookup(o, c, "o_custkey", "c_custkey", max_broadcast_rows=10)
-    hinted = small._jdf.queryExecution().optimizedPlan().toString()
-    free = big._jdf.queryExecution().optimizedPlan().toString()
-    assert "BROADCAST" in hinted.upper() and "broadcast" not in free.lower()
-    assert small.count() == big.count() == o.join(c, F.col("o_custkey") == F.col("c_custkey")).count()
+    tables = _tables(spark)
+    spark.sparkContext.setJobGroup("planning", "planning")
+    found = jn.lookup(o, c, "o_custkey", "c_custkey")
+    reports.segment_rates(*tables)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == []
+    spark.sparkContext.setJobGroup("", "")
+    assert "ResolvedHint" not in found._jdf.queryExecution().analyzed().toString()
 
 
 def test_flagship_at_scale_shuffles_each_side_once(spark):
@@ -103,7 +98,7 @@ def test_flagship_at_scale_shuffles_each_side_once(spark):
         for k, v in conf.items():
             spark.conf.set(k, v)
         from quarry.plans import reports
-        text = plan(reports.segment_rates(*_tables(spark), max_broadcast_rows=0))
+        text = plan(reports.segment_rates(*_tables(spark)))
     finally:
         for k, v in old.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)

@@ -17,16 +17,16 @@ def test_cars_metrics_and_cleanse(spark):
     m = pg.cars_metrics(df, CARS_HEADER)
     assert m["lines"].first().n == 7 and m["data_lines"].first().n == 5
     assert tuple(m["body_counts"].first()) == (3, 1)
-    assert m["avg_mpg_city"].first().avg == (29 + 35 + 16 + 23 + 17) // 5
-    assert {r.make: r.avg for r in m["avg_hp_by_make"].collect()} == {"toyota": 77, "bmw": 141, "volvo": 162}
-    assert sorted(r.make for r in m["makes"].collect()) == ["bmw", "toyota", "volvo"]
+    assert m["avg_mpg_city"].first().avg == (31 + 36 + 15 + 24 + 18) // 5
+    assert {r.make: r.avg for r in m["avg_hp_by_make"].collect()} == {"toyota": 77, "belmont": 141, "corvin": 162}
+    assert sorted(r.make for r in m["makes"].collect()) == ["belmont", "corvin", "toyota"]
     assert m["toyota_lines"].first().n == 2 and m["toyota_words"].first().n == 24
     shortest = min(CARS, key=lambda s: (len(s), s))
     assert m["shortest"].first().shortest == shortest
     clean = sorted(r.value for r in pg.cars_cleansed(df, CARS_HEADER).collect())
     assert clean[0].split(",")[3] in ("2", "4") and all(r.split(",")[5].isupper() for r in clean)
-    assert "toyota,gas,std,4,sedan,FWD,four,92,4200,29,34,8948" in clean
-    assert "toyota,gas,std,2,hatchback,FWD,four,62,4800,35,39,5348" in clean
+    assert "toyota,gas,std,4,sedan,FWD,four,90,4150,31,37,9120" in clean
+    assert "toyota,gas,std,2,hatchback,FWD,four,64,4700,36,41,5610" in clean
     tabs = pg.cars_tab_separated(df).first().value
     assert "," not in tabs and "\t" in tabs
 
