@@ -31,6 +31,7 @@ MIN_WORDS = 50
 SEED = 12
 WINDOW = MIN_WORDS - SEED + 1
 CHUNK = 1 << 18   # grams handled at once
+NEAR = 4          # texts before a suffix that it is compared with, in either order
 RUN = 20_000      # rows of one seed whose left contexts are sorted together
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # fixed value: 2**64 over the golden ratio, odd
 
@@ -76,20 +77,20 @@ def _common(x: list, y: list) -> int:
 
 
 class Neighbours:
-    """Feeds rows in suffix order; matches are (text, start, end, id of the other)."""
+    """Feeds rows in suffix order: each meets the nearest rows before it of up to
+    NEAR other texts that share its seed; matches are (text, start, end, id of the other)."""
 
     def __init__(self):
-        self.last = self.other = None  # the row before, and the nearest before that of another text
+        self.near: list[list] = []  # one row per text, the latest last
         self.matches: list[tuple] = []
 
     def feed(self, row: list) -> None:
-        if self.last is not None:
-            near = self.last if self.last[2] != row[2] else self.other
-            if near is not None and near[2] != row[2]:
-                self.pair(near, row)
-            if self.last[2] != row[2]:
-                self.other = self.last
-        self.last = row
+        if self.near and self.near[-1][0][:SEED] != row[0][:SEED]:
+            self.near = []
+        self.near = [r for r in self.near if r[2] != row[2]][-NEAR:]
+        for r in self.near:
+            self.pair(r, row)
+        self.near.append(row)
 
     def pair(self, a: list, b: list) -> None:
         right, left = _match(a, b)
@@ -217,8 +218,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     names, types = ["right", "left", "text_key", "pos", "doc_id"], [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
     suffix = materialised(chosen.mapInArrow(suffixes, "right string, left string, text_key long, pos long, doc_id long"), "passages-suffixes", "zstd")
-    # the range sample brings up to a million of these keys to the driver, so only the start of the left context is among them
-    order = ["right", F.substring("left", 1, 32), "text_key", "pos"]
+    order = ["right", "left", "text_key", "pos"]
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = materialised(suffix.repartitionByRange(tasks, *order).sortWithinPartitions(*order).mapInArrow(_compare, FOUND_SQL), "passages-found", "zstd")
     # two rows per task: compared in one
