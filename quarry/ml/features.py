@@ -17,8 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import explode_words, tokens_regex
-from ..session import checkpoint_root
-
+from ..operators.layout import written
 
 
 def assemble(df: DataFrame, inputs: Sequence[str], output: str = "features",
@@ -67,6 +66,13 @@ def scale_vectors(df: DataFrame, input_col: str = "features", output: str = "sca
     return model.transform(df), model
 
 
+def at_least_zero(df: DataFrame, vector_col: str) -> DataFrame:
+    """Vector elements below 0 as 0: what a min-max scaler fitted on the
+    training part gives for smaller test values, and naive Bayes refuses."""
+    floor = F.transform(vector_to_array(F.col(vector_col)), lambda x: F.greatest(x, F.lit(0.0)))
+    return df.withColumn(vector_col, array_to_vector(floor))
+
+
 def string_index(df: DataFrame, input_col: str, output: str, fit_on: DataFrame | None = None,
                  order: str = "frequencyDesc", handle_invalid: str = "keep"):
     """M3: category -> index by descending frequency, ties alphabetical.
@@ -103,6 +109,17 @@ def tokenizer_stage(input_col: str, output: str = "tokens") -> Tokenizer:
     return Tokenizer(inputCol=input_col, outputCol=output)
 
 
+def hashed_tf(df: DataFrame, tokens_col: str = "tokens", output: str = "_tf",
+              num_features: int = 1 << 18) -> DataFrame:
+    """M7: hashed term frequencies as a sparse vector; nothing is fitted."""
+    return HashingTF(inputCol=tokens_col, outputCol=output, numFeatures=num_features).transform(df)
+
+
+def fit_idf(train: DataFrame, tf_col: str = "_tf", output: str = "tfidf"):
+    """M8: IDF fitted on ``train`` only."""
+    return IDF(inputCol=tf_col, outputCol=output).fit(train)
+
+
 def fit_hashed_tfidf(train: DataFrame, tokens_col: str = "tokens", output: str = "tfidf",
                      num_features: int = 1 << 18) -> PipelineModel:
     """M7 + M8 as vectors: hashed term frequencies and an IDF fitted on
@@ -142,17 +159,16 @@ def tfidf_long(docs: DataFrame, doc_col: str, tokens_col: str,
 
     Document frequencies come from ``fit_docs`` (the training part) when
     given; ``n_docs`` (a number or scalar Column) may give its size. With
-    ``materialize`` the TF table is checkpointed to ``spark.checkpoint.dir``. The idf table has one row per term and is derived, so its size is
+    ``materialize`` the TF table is written once as Parquet below
+    ``spark.checkpoint.dir``. The idf table has one row per term and is derived, so its size is
     checked at run time by AQE: broadcast when the shuffled vocabulary is
     small, otherwise a sort-merge join whose hot-term partitions AQE splits."""
     tf = term_frequencies(docs, doc_col, tokens_col)
     if materialize:
-        # the TF table feeds both the document frequencies and the output;
-        # written once to the shared checkpoint folder it is tokenised once
-        # (AQE does not reuse the identical exchange) and its lineage is cut,
-        # so a lost executor never sends the job back to the raw text
-        checkpoint_root(docs.sparkSession)
-        tf = tf.checkpoint(eager=True)
+        # the TF table feeds both the document frequencies (which read only
+        # its terms) and the output; written once, it is tokenised once
+        # (AQE does not reuse the identical exchange) and its lineage is cut
+        tf = written(tf, "tf")
     fit = fit_docs if fit_docs is not None else docs
     fit_tf = tf if fit_docs is None else term_frequencies(fit_docs, doc_col, tokens_col)
     if n_docs is None:

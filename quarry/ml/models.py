@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Estimator, Pipeline
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, NaiveBayes, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, HashingTF, Tokenizer
@@ -18,6 +18,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import attach_scalars
+from ..operators.layout import cached
 from ..session import checkpoint_root
 
 
@@ -103,6 +105,57 @@ def text_classifier(text_col: str = "text", label: str = "label", num_features:
     ])
 
 
+def fit_text_classifier(train: DataFrame, text_col: str = "text", label: str = "label",
+                        num_features: int = 1 << 18, smoothing: float = 1.0) -> PipelineModel:
+    """M9 fitted with one pass over the texts: the first two stages learn
+    nothing, so their output is computed once and kept while IDF and naive
+    Bayes, which read it several times, are fitted. Same model as
+    ``text_classifier(...).fit(train)``."""
+    tokenizer, tf, *fitted = text_classifier(text_col, label, num_features, smoothing).getStages()
+    with cached(tf.transform(tokenizer.transform(train)).select(label, "_tf")) as vectors:
+        rest = Pipeline(stages=fitted).fit(vectors)
+    return PipelineModel([tokenizer, tf, *rest.stages])
+
+
+def term_naive_bayes(tf: DataFrame, docs: DataFrame, label: str, classes: Sequence,
+                     smoothing: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """M13 in long form, exact (no hashing): multinomial naive Bayes over
+    (doc, term, tf) rows with a label column.
+
+    ``tf`` and ``docs`` are the training part: one row per document and term,
+    and one per document. Returns (terms, priors): per training term its
+    smoothed log probability in each class (``lp_0``, ``lp_1``, ... in the
+    order of ``classes``), and one row of log priors by the same names. Both
+    are partial aggregates; the class totals come in as scalar subqueries.
+    """
+    def in_class(value, k):
+        return F.sum(F.when(F.col(label) == F.lit(classes[k]), value).otherwise(0.0))
+
+    n = range(len(classes))
+    counts = tf.groupBy("term").agg(*[(in_class(F.col("tf"), k) + F.lit(smoothing)).alias(f"n_{k}") for k in n])
+    totals = counts.agg(*[F.sum(f"n_{k}").alias(f"t_{k}") for k in n])
+    terms = attach_scalars(counts, totals).select(
+        "term", *[(F.log(f"n_{k}") - F.log(f"t_{k}")).alias(f"lp_{k}") for k in n])
+    priors = docs.agg(*[F.log((in_class(F.lit(1.0), k) + smoothing) / (F.count(F.lit(1)) + smoothing * len(classes)))
+                        .alias(f"lp_{k}") for k in n])
+    return terms, priors
+
+
+def term_scores(tf: DataFrame, docs: DataFrame, doc: str, terms: DataFrame, priors: DataFrame,
+                n_classes: int) -> DataFrame:
+    """Log score of every document in each class (``score_0``, ...) under a
+    ``term_naive_bayes`` model, next to the columns of ``docs``. Terms unknown
+    to the model say nothing; a document without known terms gets the priors.
+    The join is on the term (one row per term on the model's side, hot terms
+    are split by AQE), the sums are partial before the shuffle by document."""
+    n = range(n_classes)
+    sums = (tf.select(doc, "term", "tf").join(terms, "term")
+            .groupBy(doc).agg(*[F.sum(F.col("tf") * F.col(f"lp_{k}")).alias(f"_s{k}") for k in n]))
+    out = docs.join(sums, doc, "left")
+    prior = [priors.select(f"lp_{k}").scalar() for k in n]
+    return out.select(*docs.columns, *[(prior[k] + F.coalesce(F.col(f"_s{k}"), F.lit(0.0))).alias(f"score_{k}") for k in n])
+
+
 def accuracy(pred: DataFrame, label: str = "label", prediction: str = "prediction",
              name: str = "accuracy") -> DataFrame:
     """Share of rows with prediction = label (one aggregate)."""
@@ -140,13 +193,23 @@ def compare_classifiers(train: DataFrame, test: DataFrame,
                         estimators: Mapping[str, Estimator], label: str = "label",
                         prediction: str = "prediction") -> DataFrame:
     """Fit each estimator (a short, fixed list) on one split and return
-    one row per model: (model, accuracy)."""
-    rows = None
-    for name, est in estimators.items():
-        pred = est.fit(train).transform(test)
-        one = accuracy(pred, label, prediction).select(F.lit(name).alias("model"), "accuracy")
-        rows = one if rows is None else rows.unionByName(one)
-    return rows
+    one row per model: (model, accuracy). The training part is kept while the
+    models are fitted (each reads it many times); the test part is read once,
+    every model adding its own prediction column to the same rows."""
+    names = list(estimators)
+    with cached(train) as kept:
+        models = [estimators[n].copy({estimators[n].getParam(p): f"_{i}_{p}" for p in
+                                      ("predictionCol", "rawPredictionCol", "probabilityCol")}).fit(kept)
+                  for i, n in enumerate(names)]
+    pred = test
+    for m in models:
+        pred = m.transform(pred)
+    # a model's column may be non-deterministic to the analyzer, which refuses it inside avg()
+    hits = pred.select(*[(F.col(label).cast("double") == F.col(f"_{i}_predictionCol")).cast("double").alias(f"_hit{i}")
+                         for i in range(len(names))])
+    shares = hits.agg(*[F.avg(f"_hit{i}").alias(f"_hit{i}") for i in range(len(names))])
+    rows = [F.struct(F.lit(n).alias("model"), F.col(f"_hit{i}").alias("accuracy")) for i, n in enumerate(names)]
+    return shares.select(F.inline(F.array(*rows)))
 
 
 def default_classifiers(features: str = "features", label: str = "label", seed: int = 42,

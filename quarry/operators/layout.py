@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 
 @contextmanager
 def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
@@ -27,25 +30,11 @@ def partition_profile(df: DataFrame) -> DataFrame:
             .groupBy("partition").agg(F.count(F.lit(1)).alias("rows")))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Spread a frame over at least ``min_partitions`` tasks (default: the
-    cluster's parallelism) before CPU-heavy row work such as tokenising.
-
-    Only when the input has fewer partitions than that (a few large
-    unsplittable files) is a round-robin shuffle added; a big input read in
-    many splits is returned unchanged, so this costs nothing at scale. Apply
-    it to a frame read from storage (before any shuffle): then the partition
-    count is planning metadata and no job runs.
-
-    With ``keys`` the rows are hash-partitioned on them instead of dealt
-    round robin: a later grouping that includes the keys (e.g. per document
-    and term) then needs no exchange of its own.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session): leave as is
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
+def written(df: DataFrame, label: str) -> DataFrame:
+    """A frame that later steps read more than once, written as Parquet below
+    ``spark.checkpoint.dir`` and read again: later readers prune its columns,
+    and a lost executor never sends the job back to the raw input. The folder
+    is kept, since the returned frame reads it."""
+    path = scratch_path(df.sparkSession, "tables", f"{label}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -115,9 +115,7 @@ def q_src_text_lines(spark, d):
     header; every header copy is dropped, fields are split out."""
     part = table(spark, d, "part").select("p_partkey", "p_name")
     path = _scratch_dir(spark, "part-text")
-    # several part files, each with its own header line (spread is a no-op
-    # on a large input, which is written in many files anyway)
-    sinks.write_delimited(layout.spread(part), path, sep="|", header=True)
+    sinks.write_delimited(part, path, sep="|", header=True)  # one header per part file
     lines = flt.drop_header(files.read_lines(spark, path), "value", "p_partkey|p_name")
     return lines.select(qf.field("value", "|", 0).cast("bigint").alias("p_partkey"),
                         qf.field("value", "|", 1).alias("p_name"))
@@ -132,11 +130,17 @@ def q_select_cols(spark, d):
 
 @query("filter_eq")
 def q_filter_eq(spark, d):
-    # p_size is typed here, so the comparison is pushed to the scan as EqualTo;
-    # text compared with a number (cast="int") is covered by the source tests
+    # p_size is typed here, so the comparison is pushed to the scan as EqualTo
     return flt.where_equals(table(spark, d, "part"), "p_size", 40)
 
 
+@query("filter_eq_text")
+def q_filter_eq_text(spark, d):
+    """P3 on text: the number in front of the priority's name, compared with a number."""
+    o = table(spark, d, "orders").select("o_orderkey", qf.field("o_orderpriority", "-", 0).alias("priority"))
+    return flt.where_equals(o, "priority", 2, cast="int")
+
+
 @query("filter_range")
 def q_filter_range(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
@@ -299,6 +303,14 @@ def q_lookup_enrich(spark, d):
     return jn.lookup(step1, r, "n_regionkey", "r_regionkey").select("c_custkey", "n_name", "r_name")
 
 
+@query("lookup_unmatched")
+def q_lookup_unmatched(spark, d):
+    """The rows an inner lookup loses, counted: orders whose customer is not in the looked-up segment."""
+    orders = table(spark, d, "orders").select("o_custkey", "o_orderstatus")
+    cust = flt.where_equals(table(spark, d, "customer"), "c_mktsegment", "BUILDING")
+    return agg.group_count(jn.unmatched(orders, cust, "o_custkey", "c_custkey"), "o_orderstatus")
+
+
 @query("join_reattach")
 def q_join_reattach(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "n_chars")
@@ -441,7 +453,7 @@ def q_corr_with_label(spark, d):
 
 @query("word_count")
 def q_word_count(spark, d):
-    return agg.word_count(layout.spread(table(spark, d, "documents").select("text")), "text", " ")
+    return agg.word_count(table(spark, d, "documents").select("text"), "text", " ")
 
 
 def _rule_predictions(spark, d) -> DataFrame:

@@ -27,9 +27,11 @@ def _embeddings(spark, d):
 
 
 def _labelled_docs(spark, d):
-    docs = layout.spread(table(spark, d, "documents").select("doc_id", "text"), keys=("doc_id",))
+    """Labelled documents only, then by document: where the join had to
+    shuffle, its partitioning is kept and no second exchange is planned."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
     lab = table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    return docs.join(lab, "doc_id")
+    return docs.join(lab, "doc_id").repartition("doc_id")
 
 
 @query("ml_assemble")
@@ -76,21 +78,17 @@ def q_index_to_string(spark, d):
     return back.select("event_id", "event_index", "event_type_back")
 
 
-def _documents(spark, d):
-    """doc_id and whole text, spread over the cluster before tokenising."""
-    return layout.spread(table(spark, d, "documents").select("doc_id", "text"), keys=("doc_id",))
-
-
 @query("ml_tokenize")
 def q_ml_tokenize(spark, d):
-    docs = fe.tokenize(_documents(spark, d), "text")
+    docs = fe.tokenize(table(spark, d, "documents").select("doc_id", "text"), "text")
     return (docs.select("doc_id", F.posexplode_outer("tokens").alias("pos", "token"))
             .where(F.col("token").isNotNull()))
 
 
 @query("ml_tfidf")
 def q_ml_tfidf(spark, d):
-    docs = fe.tokenize(_documents(spark, d), "text")
+    # by document once: the counts per (document, term) then need no exchange of their own
+    docs = fe.tokenize(table(spark, d, "documents").select("doc_id", "text").repartition("doc_id"), "text")
     n_docs = table(spark, d, "documents").select(F.count(F.lit(1))).scalar()
     t = fe.tfidf_long(docs, "doc_id", "tokens", n_docs=n_docs)
     return t.select("doc_id", "term", "tf", r6(F.col("idf")).alias("idf"), r6(F.col("tfidf")).alias("tfidf"))
@@ -100,18 +98,52 @@ def q_ml_tfidf(spark, d):
 def q_ml_text_classifier(spark, d):
     labelled = _labelled_docs(spark, d)
     train, test = sets.split_by_key(labelled, ["doc_id"], 0.7, seed=SEED)
-    model = mo.text_classifier("text", "label").fit(train)
+    model = mo.fit_text_classifier(train, "text", "label")
     return agg.confusion_matrix(model.transform(test), "label", "prediction")
 
 
 @query("ml_naive_bayes")
 def q_ml_naive_bayes(spark, d):
-    labelled = fe.tokenize(_labelled_docs(spark, d), "text")
-    train, test = sets.split_by_key(labelled, ["doc_id"], 0.7, seed=SEED)
-    tfidf = fe.fit_hashed_tfidf(train)  # IDF sees the training part only
-    model = mo.naive_bayes(tfidf.transform(train), "tfidf", "label")
-    test_v = tfidf.transform(test)
-    return mo.with_predictions(model, test_v, ["doc_id", "label"])
+    # hashed counts learn nothing: written once, then read by both fits and the prediction
+    counted = fe.hashed_tf(fe.tokenize(_labelled_docs(spark, d), "text")).select("doc_id", "label", "_tf")
+    train, test = sets.split_by_key(layout.written(counted, "hashed-tf"), ["doc_id"], 0.7, seed=SEED)
+    idf = fe.fit_idf(train)  # sees the training part only
+    model = mo.naive_bayes(idf.transform(train), "tfidf", "label")
+    return mo.with_predictions(model, idf.transform(test), ["doc_id", "label"])
+
+
+def _long_counts(spark, d):
+    """Labelled documents, and their (document, term, count) rows written once."""
+    labelled = _labelled_docs(spark, d)
+    tf = fe.term_frequencies(fe.tokenize(labelled, "text"), "doc_id", "tokens")
+    return table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("label")), layout.written(tf, "tf")
+
+
+@query("ml_tfidf_split")
+def q_ml_tfidf_split(spark, d):
+    """M8 as studied: document frequencies from the training part only, applied to the test part."""
+    docs = table(spark, d, "documents").select("doc_id", "text").repartition("doc_id")
+    tf = layout.written(fe.term_frequencies(fe.tokenize(docs, "text"), "doc_id", "tokens"), "tf")
+    train, test = sets.split_by_key(tf, ["doc_id"], 0.7, seed=SEED, method="md5")
+    ids, _ = sets.split_by_key(table(spark, d, "documents").select("doc_id"), ["doc_id"], 0.7, seed=SEED, method="md5")
+    n_train = ids.select(F.count(F.lit(1))).scalar()
+    idf = fe.inverse_document_frequency(train, "doc_id", n_train)
+    value = F.coalesce(F.col("idf"), F.log(n_train + F.lit(1)))  # a term unseen in training
+    return test.join(idf, "term", "left").select("doc_id", "term", "tf", r6(value).alias("idf"), r6(F.col("tf") * value).alias("tfidf"))
+
+
+@query("ml_nb_terms")
+def q_ml_nb_terms(spark, d):
+    """M13 exactly: multinomial naive Bayes on unhashed term counts, fitted on
+    the training part, applied to the test part."""
+    labels, tf = _long_counts(spark, d)
+    docs = table(spark, d, "documents").select("doc_id").join(labels, "doc_id")
+    (train, test), (train_tf, test_tf) = (sets.split_by_key(f, ["doc_id"], 0.7, seed=SEED, method="md5")
+                                          for f in (docs, tf.join(labels, "doc_id")))
+    terms, priors = mo.term_naive_bayes(train_tf, train, "label", [0.0, 1.0])
+    s = mo.term_scores(test_tf, test, "doc_id", terms, priors, 2)
+    margin = F.col("score_1") - F.col("score_0")
+    return s.select("doc_id", "label", F.when(margin > 0, 1.0).otherwise(0.0).alias("prediction"), F.round(margin, 4).alias("margin"))
 
 
 @query("ml_linreg")
@@ -123,6 +155,15 @@ def q_ml_linreg(spark, d):
                         F.round("intercept", 2).alias("intercept"))
 
 
+@query("eval_r2_linreg")
+def q_eval_r2_linreg(spark, d):
+    """M17 over a fitted model's own predictions."""
+    li = fe.assemble(table(spark, d, "lineitem").select("l_quantity", "l_extendedprice"), ["l_quantity"])
+    model = mo.linear_regression(li, "features", "l_extendedprice")
+    pred = model.transform(li).select("l_extendedprice", "prediction")
+    return mo.r2(pred, "l_extendedprice", "prediction").select(r6(F.col("r2")).alias("r2"))
+
+
 @query("ml_pca")
 def q_ml_pca(spark, d):
     out, _ = fe.pca(_embeddings(spark, d), "features", 3)
@@ -157,13 +198,11 @@ def q_ml_forest(spark, d):
 
 @query("ml_compare")
 def q_ml_compare(spark, d):
-    emb = _embeddings(spark, d).withColumn("label", F.col("label").cast("double"))
-    # naive Bayes needs features >= 0: min-max scale (fitted on all rows; a
-    # scaler is two aggregates, no leakage of labels)
-    scaled = MinMaxScaler(inputCol="features", outputCol="features01").fit(emb).transform(emb)
-    train, test = sets.split_by_key(scaled, ["vec_id"], 0.7, seed=SEED)
-    return mo.compare_classifiers(train, test, mo.default_classifiers(seed=SEED,
-                                                                      nb_features="features01"))
+    train, test = _split_embeddings(spark, d)
+    # naive Bayes needs features >= 0: min-max scale, fitted on the training part
+    scaler = MinMaxScaler(inputCol="features", outputCol="features01").fit(train)
+    scaled = [fe.at_least_zero(scaler.transform(part), "features01") for part in (train, test)]
+    return mo.compare_classifiers(*scaled, mo.default_classifiers(seed=SEED, nb_features="features01"))
 
 
 @query("ml_als")
@@ -200,7 +239,33 @@ _LOW = f"regexp_replace(lower(text), '{_WS}+$', '')"
 _TOKENS = (f"CASE WHEN text = '' THEN [''] WHEN {_LOW} = '' THEN []::VARCHAR[] "
            f"ELSE regexp_split_to_array({_LOW}, '{_WS}') END")
 
+_IN_TRAIN = ("CAST(('0x' || substr(md5(concat_ws('|', '42', CAST(doc_id AS VARCHAR))), 1, 8)) AS BIGINT) % 1000 < 700")
+
 ORACLES: dict[str, str] = {
+    "ml_tfidf_split": f"""
+        WITH t AS (SELECT doc_id, {_IN_TRAIN} AS train, unnest({_TOKENS}) AS term FROM documents),
+             tf AS (SELECT doc_id, train, term, count(*) AS tf FROM t GROUP BY ALL),
+             n AS (SELECT count(*) + 1.0 AS n FROM documents WHERE {_IN_TRAIN}),
+             df AS (SELECT term, count(*) AS df FROM tf WHERE train GROUP BY term),
+             w AS (SELECT doc_id, tf.term, tf, ln(n / (coalesce(df, 0) + 1.0)) AS idf
+                   FROM tf CROSS JOIN n LEFT JOIN df ON tf.term = df.term WHERE NOT train)
+        SELECT doc_id, term, tf, round(idf, 6) AS idf, round(tf * idf, 6) AS tfidf FROM w""",
+    "ml_nb_terms": f"""
+        WITH d AS (SELECT doc_id, text, CAST(quality AS DOUBLE) AS label,
+                          {_IN_TRAIN} AS train FROM documents JOIN labels USING (doc_id)),
+             t AS (SELECT doc_id, label, train, unnest({_TOKENS}) AS term FROM d),
+             c AS (SELECT term, count(*) FILTER (label = 0) + 1.0::DOUBLE AS n0,
+                          count(*) FILTER (label = 1) + 1.0::DOUBLE AS n1 FROM t WHERE train GROUP BY term),
+             s AS (SELECT sum(n0) AS t0, sum(n1) AS t1 FROM c),
+             p AS (SELECT ln((count(*) FILTER (label = 1) + 1.0) / (count(*) FILTER (label = 0) + 1.0)) AS m
+                   FROM d WHERE train),
+             x AS (SELECT doc_id, sum(ln(n1 / t1) - ln(n0 / t0)) AS m
+                   FROM t JOIN c USING (term) CROSS JOIN s WHERE NOT train GROUP BY doc_id),
+             y AS (SELECT d.doc_id, label, p.m + coalesce(x.m, 0) AS margin
+                   FROM d CROSS JOIN p LEFT JOIN x ON x.doc_id = d.doc_id WHERE NOT train)
+        SELECT doc_id, label, CASE WHEN margin > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction,
+               round(margin, 4) AS margin FROM y""",
+    "eval_r2_linreg": "SELECT round(regr_r2(l_extendedprice, l_quantity), 6) AS r2 FROM lineitem",
     "ml_assemble": """
         SELECT l_orderkey, l_linenumber, l_extendedprice AS label, l_quantity AS x_l_quantity,
                l_discount AS x_l_discount, l_tax AS x_l_tax

@@ -41,6 +41,9 @@ ORACLES: dict[str, str] = {
     "src_text_lines": "SELECT p_partkey, p_name FROM part",
     "select_cols": "SELECT c_name, c_acctbal FROM customer",
     "filter_eq": "SELECT * FROM part WHERE p_size = 40",
+    "filter_eq_text": """
+        SELECT o_orderkey, split_part(o_orderpriority, '-', 1) AS priority FROM orders
+        WHERE TRY_CAST(split_part(o_orderpriority, '-', 1) AS INTEGER) = 2""",
     "filter_range": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 30",
     "filter_contains": "SELECT p_partkey, p_name FROM part WHERE contains(p_name, 'ring')",
     "filter_not_contains": "SELECT p_partkey, p_name FROM part WHERE NOT contains(p_name, 'ring')",
@@ -149,6 +152,10 @@ ORACLES: dict[str, str] = {
     "agg_by_key": """
         SELECT l_returnflag, CAST(sum(CAST(l_quantity AS BIGINT)) // count(*) AS BIGINT) AS avg
         FROM lineitem GROUP BY l_returnflag""",
+    "lookup_unmatched": """
+        SELECT o_orderstatus, count(*) AS count FROM orders
+        WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_mktsegment = 'BUILDING')
+        GROUP BY o_orderstatus""",
     "group_count": "SELECT o_orderstatus, count(*) AS count FROM orders GROUP BY o_orderstatus",
     "group_avg_max": """
         SELECT c_mktsegment, round(avg(c_acctbal), 6) AS avg_bal, max(c_acctbal) AS max_bal

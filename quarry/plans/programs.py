@@ -186,7 +186,7 @@ def message_bayes(messages: DataFrame, seed: int = 42):
     part (IDF sees training messages only); accuracy and confusion."""
     keyed = messages.withColumn("_row", F.xxhash64("LABEL", "MESSAGE"))
     train, test = sets.split_by_key(keyed, ["_row"], 0.7, seed)
-    model = mo.text_classifier("MESSAGE", "LABEL").fit(train)
+    model = mo.fit_text_classifier(train, "MESSAGE", "LABEL")
     pred = model.transform(test)
     return {"accuracy": mo.accuracy(pred, "LABEL", "prediction"),
             "confusion": agg.confusion_matrix(pred, "LABEL", "prediction")}
@@ -205,8 +205,8 @@ def ratings_frame(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def ratings_als(ratings: DataFrame, rank: int = 10, max_iter: int = 5, seed: int = 42):
-    """ALS on 90 % of the pairs; predictions for the rest (users or items
-    unseen in training are dropped, not NaN)."""
+    """ALS on 90 % of the pairs; predictions for the rest (NaN where the user
+    or the item is unseen in training)."""
     train, test = sets.split_by_key(ratings, ["user", "item"], 0.9, seed)
     model = mo.als(train, "user", "item", "rating", rank=rank, max_iter=max_iter, seed=seed)
     return model, model.transform(test)

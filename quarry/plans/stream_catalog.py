@@ -7,6 +7,7 @@ the shared folder) and returns the landed result as a batch frame.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
 from ..streaming import landing, sources, windows
@@ -54,6 +55,15 @@ def q_stream_batch_count(spark, d):
     return windows.slot_counts(_landed_events(spark, d), "ts", SLOT_SECONDS, "n")
 
 
+@query("stream_arrival_count")
+def q_stream_arrival_count(spark, d):
+    """T2 by arrival: rows of each micro-batch (``availableNow`` without a file
+    cap takes all files present in one)."""
+    stamped = landing.with_arrival(_stream_of(spark, d, "events", ["event_id"]))
+    landed = landing.run_available(spark, stamped, "arrivals")
+    return landed.groupBy("arrival").agg(F.count(F.lit(1)).alias("n")).select("n")
+
+
 @query("stream_last_slots")
 def q_stream_last_slots(spark, d):
     counts = windows.slot_counts(_landed_events(spark, d), "ts", SLOT_SECONDS, "n")
@@ -82,6 +92,7 @@ ORACLES: dict[str, str] = {
     "stream_tokens_per_slot": """
         SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS slot_start, event_type AS word, count(*) AS count
         FROM events GROUP BY 1, 2""",
+    "stream_arrival_count": "SELECT count(*) AS n FROM events",
     "stream_batch_count": f"WITH {_SLOTS} SELECT slot_start, n FROM z",
     "stream_last_slots": f"""
         WITH {_SLOTS}

@@ -1,5 +1,6 @@
 """ML on planted data with known answers."""
 
+import math
 import random
 
 import pytest
@@ -101,10 +102,44 @@ def test_text_pipeline_separates_topics(spark):
     rows = [(i, " ".join(rnd.choice(good if i % 2 else bad) for _ in range(8)), float(i % 2)) for i in range(200)]
     df = spark.createDataFrame(rows, "id int, text string, label double")
     train, test = sets.split_by_key(df, ["id"], 0.7, seed=3)
-    model = mo.text_classifier("text", "label").fit(train)
+    model = mo.fit_text_classifier(train, "text", "label")
     assert mo.accuracy(model.transform(test)).first().accuracy == 1.0
 
 
+def test_text_classifier_equals_the_plain_pipeline(spark):
+    rnd = random.Random(7)
+    words = ["red", "green", "blue", "grey", "pink"]
+    rows = [(" ".join(rnd.choice(words) for _ in range(6)), float(i % 2)) for i in range(80)] + [("", 1.0)]
+    df = spark.createDataFrame(rows, "text string, label double")
+    one, two = mo.fit_text_classifier(df), mo.text_classifier().fit(df)
+    a, b = ([(r.text, r.label, r.prediction) for r in m.transform(df).collect()] for m in (one, two))
+    assert sorted(a) == sorted(b)
+
+
+def test_term_naive_bayes_by_hand(spark):
+    docs = spark.createDataFrame([(1, 0.0), (2, 0.0), (3, 1.0)], "doc int, label double")
+    tf = spark.createDataFrame([(1, "a", 2, 0.0), (2, "b", 1, 0.0), (3, "b", 3, 1.0)], "doc int, term string, tf int, label double")
+    terms, priors = mo.term_naive_bayes(tf, docs, "label", [0.0, 1.0])
+    got = {r.term: (r.lp_0, r.lp_1) for r in terms.collect()}
+    assert got["a"] == (pytest.approx(math.log(3 / 5)), pytest.approx(math.log(1 / 5)))
+    assert got["b"] == (pytest.approx(math.log(2 / 5)), pytest.approx(math.log(4 / 5)))
+    assert tuple(priors.first()) == (pytest.approx(math.log(3 / 5)), pytest.approx(math.log(2 / 5)))
+    new = spark.createDataFrame([(8,), (9,)], "doc int")
+    new_tf = spark.createDataFrame([(8, "b", 2), (8, "zzz", 5)], "doc int, term string, tf int")
+    s = {r.doc: (r.score_0, r.score_1) for r in mo.term_scores(new_tf, new, "doc", terms, priors, 2).collect()}
+    assert s[8] == (pytest.approx(math.log(3 / 5 * 4 / 25)), pytest.approx(math.log(2 / 5 * 16 / 25)))
+    assert s[9] == (pytest.approx(math.log(3 / 5)), pytest.approx(math.log(2 / 5)))  # no known term: the priors
+
+
+def test_classifier_comparison_reads_the_test_part_once(spark, blobs):
+    train, test = sets.split_by_key(blobs.where("label >= 0"), ["id"], 0.7, seed=1)
+    two = {k: v for k, v in mo.default_classifiers(seed=1).items() if k != "naive_bayes"}
+    out = mo.compare_classifiers(train, test, two)
+    assert [r.model for r in out.collect()] == list(two) and not train.is_cached
+    one_by_one = {k: mo.accuracy(e.fit(train).transform(test)).first().accuracy for k, e in two.items()}
+    assert {r.model: r.accuracy for r in out.collect()} == one_by_one
+
+
 def test_als_recovers_low_rank_ratings(spark):
     users, items = range(20), range(15)
     u = {i: 1 + (i % 3) for i in users}
@@ -117,4 +152,7 @@ def test_als_recovers_low_rank_ratings(spark):
     rmse = pred.agg(F.sqrt(F.avg((F.col("rating") - F.col("prediction")) ** 2))).first()[0]
     assert rmse < 0.5
     cold = spark.createDataFrame([(999, 1, 1.0)], "user int, item int, rating double")
-    assert model.transform(cold).count() == 0  # cold start dropped, not NaN
+    kept = model.transform(cold).collect()  # a pair unknown to the model is kept and says so
+    assert len(kept) == 1 and math.isnan(kept[0].prediction)
+    dropping = mo.als(train, "user", "item", "rating", rank=3, max_iter=2, seed=4, cold_start="drop")
+    assert dropping.transform(cold).count() == 0

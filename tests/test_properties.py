@@ -113,13 +113,13 @@ def test_cached_releases_after_use(spark):
     assert not df.is_cached
 
 
-def test_spread_only_when_input_is_small(spark):
+def test_written_tables_survive_their_source(spark):
     from quarry.operators import layout
-    one = table(spark, SF_SMALL, "orders")
-    assert one.rdd.getNumPartitions() == 1
-    assert layout.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, numPartitions=16)
-    assert layout.spread(many) is many
+    df = spark.range(0, 100, numPartitions=4).withColumn("x", F.col("id") * 2)
+    kept = layout.written(df, "test")
+    assert kept.dtypes == df.dtypes and sorted(r.x for r in kept.collect()) == [2 * i for i in range(100)]
+    text = kept.select("x")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<x:bigint>" in text and "Range" not in text
 
 
 def test_md5_split_is_reproducible_outside_spark(spark):
