@@ -135,12 +135,13 @@ def hashed_tfidf(train: DataFrame, apply_to: DataFrame, tokens_col: str = "token
     return model.transform(apply_to).drop("_tf"), model
 
 
-def term_frequencies(df: DataFrame, doc_col: str, tokens_col: str) -> DataFrame:
-    """(doc, term, tf): one row per distinct term of a document. The partial
-    aggregate keeps a long document's repeats map-side."""
+def term_frequencies(df: DataFrame, doc_col: str, tokens_col: str, also: Sequence[str] = ()) -> DataFrame:
+    """(doc, term, tf): one row per distinct term of a document, with the
+    document's own columns ``also`` beside it. The partial aggregate keeps a
+    long document's repeats map-side."""
     gen, keep = explode_words(F.col(tokens_col), "term")
-    return (df.select(doc_col, gen).where(keep)
-            .groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    return (df.select(doc_col, *also, gen).where(keep)
+            .groupBy(doc_col, *also, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
 def inverse_document_frequency(tf: DataFrame, doc_col: str, n_docs) -> DataFrame:

@@ -113,10 +113,12 @@ def q_ml_naive_bayes(spark, d):
 
 
 def _long_counts(spark, d):
-    """Labelled documents, and their (document, term, count) rows written once."""
+    """Labelled documents (doc_id, label) and their (doc_id, label, term, tf) rows, written once."""
     labelled = _labelled_docs(spark, d)
-    tf = fe.term_frequencies(fe.tokenize(labelled, "text"), "doc_id", "tokens")
-    return table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("label")), layout.written(tf, "tf")
+    counts = fe.term_frequencies(fe.tokenize(labelled, "text"), "doc_id", "tokens", also=("label",))
+    ids = table(spark, d, "documents").select("doc_id").join(
+        table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
+    return ids, layout.written(counts, "tf")
 
 
 @query("ml_tfidf_split")
@@ -136,10 +138,8 @@ def q_ml_tfidf_split(spark, d):
 def q_ml_nb_terms(spark, d):
     """M13 exactly: multinomial naive Bayes on unhashed term counts, fitted on
     the training part, applied to the test part."""
-    labels, tf = _long_counts(spark, d)
-    docs = table(spark, d, "documents").select("doc_id").join(labels, "doc_id")
     (train, test), (train_tf, test_tf) = (sets.split_by_key(f, ["doc_id"], 0.7, seed=SEED, method="md5")
-                                          for f in (docs, tf.join(labels, "doc_id")))
+                                          for f in _long_counts(spark, d))
     terms, priors = mo.term_naive_bayes(train_tf, train, "label", [0.0, 1.0])
     s = mo.term_scores(test_tf, test, "doc_id", terms, priors, 2)
     margin = F.col("score_1") - F.col("score_0")
