@@ -39,7 +39,7 @@ HINT = re.compile(r"passw|secret|token|api_?key", re.ASCII | re.IGNORECASE)
 # Escapes and base64 alphabets of the standards.
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
-BASE64 = re.compile(r"[A-Za-z0-9+/]{12,}={0,2}|[A-Za-z0-9_-]{12,}={0,2}")
+BASE64 = (re.compile(r"[A-Za-z0-9+/]{12,}={0,2}"), re.compile(r"[A-Za-z0-9_-]{12,}={0,2}"))
 #: A layer that grows beyond this is still unwrapped by what precedes it but not opened itself; it is counted in n_oversize.
 MAX_LAYER_BYTES = 64 << 20
 
@@ -188,8 +188,9 @@ def _as_text(data: bytes) -> str | None:
 def _base64(layer: Layer, limit: int) -> tuple[list[Layer], int]:
     """Layers inside base64 runs, and how many were too large to open."""
     out, over = [], 0
-    for m in BASE64.finditer(layer.text):
-        run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
+    # runs of either alphabet: a URL run may begin with many characters that both have
+    for start, end in sorted({m.span() for alphabet in BASE64 for m in alphabet.finditer(layer.text)}):
+        run = layer.text[start:end].rstrip("=").replace("-", "+").replace("_", "/")
         run = run[:len(run) - (len(run) % 4 == 1)]
         try:
             data = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
@@ -204,7 +205,7 @@ def _base64(layer: Layer, limit: int) -> tuple[list[Layer], int]:
             over += 1
             continue
         if (text := _as_text(data)) is not None:
-            out.append(Layer(text, layer.span(m.start(), m.end())))
+            out.append(Layer(text, layer.span(start, end)))
     return out, over
 
 

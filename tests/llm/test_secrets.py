@@ -49,6 +49,13 @@ def wrapped(text):
         yield base64.b64encode(pack(text.encode())).decode()
 
 
+def test_url_alphabet_after_common_characters():
+    for pad in range(40):
+        packed = zlib.compress(("?>~" * pad + f" {SECRET} " + "ÿþ" * pad).encode())
+        run = base64.urlsafe_b64encode(packed).decode().rstrip("=")
+        assert [(0, len(run))] == [(s - 4, e - 4) for s, k, e in sec.scan(f"see {run} end")[1] if k == 0 and e - s == len(run)], run
+
+
 def test_nested_layers_map_to_the_original():
     for one in wrapped(f"see {SECRET} here"):
         for two in (one, *wrapped(one)):
