@@ -7,21 +7,26 @@ hold it at the same place. Seeds that stand in one text alone are put aside by
 a count; the suffixes of the rest are sorted (Spark's range partitioning on the
 suffix itself, so a passage in a third of all texts spreads over many tasks) and
 neighbours from different texts are compared: the match is extended to the right
-and to the left of the seed, and counts from MIN_WORDS words on. Inside a run
-of one seed the neighbours by left context are compared too, and the rows at the
-partitions' edges once more with each other. Each suffix carries the words a
-passage of MIN_WORDS can reach; longer passages come out as overlapping matches
-of several seeds and are merged.
+and to the left of the seed, and counts from MIN_WORDS words on. Each suffix
+carries the words a passage of MIN_WORDS can reach; longer passages come out as
+overlapping matches of several seeds and are merged.
+
+Where a seed has more texts than a suffix has neighbours, a text's only partner
+may stand farther away in the order. There the windows of MIN_WORDS words that
+hold the seed are compared by a 64-bit hash, all with all; runs of a seed that
+lie in several tasks hand their windows to a grouping by that hash. So every
+repeated window of MIN_WORDS words is found.
 
 Texts that are equal take part once; whole copies are found by their hash.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,8 +36,9 @@ MIN_WORDS = 50
 SEED = 12
 WINDOW = MIN_WORDS - SEED + 1
 CHUNK = 1 << 18   # grams handled at once
-NEAR = 4          # texts before a suffix that it is compared with, in either order
-RUN = 20_000      # rows of one seed whose left contexts are sorted together
+NEAR = 4          # texts before a suffix that it is compared with
+RUN = 20_000      # rows of one seed whose windows are compared together
+HELD = 5_000      # rows after which windows are compared, at least
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # fixed value: 2**64 over the golden ratio, odd
 
 
@@ -99,56 +105,104 @@ class Neighbours:
             self.matches.append((b[2], b[3] - left, b[3] + right, a[4]))
 
 
-FOUND = pa.schema([("text_key", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("other_id", pa.int64()),
-                   ("edge", pa.int64()), ("right", pa.string()), ("left", pa.string()), ("doc_id", pa.int64())])
-FOUND_SQL = "text_key long, first long, last long, other_id long, edge long, right string, left string, doc_id long"
-
-
-def _compare(batches):
-    """Matches among the sorted rows of a task, and its first and last row as edges (edge: the task's number, twice, plus 1 for the last)."""
-    by_right, run, run_key = Neighbours(), [], None
-    first = last = None
-
-    def by_left():
-        if len(run) > 1:
-            n = Neighbours()
-            for r in sorted(run, key=lambda r: r[1]):
-                n.feed(r)
-            return n.matches
-        return []
-
-    def batch(matches, edges=()):
-        rows = [(*m, None, None, None, None) for m in dict.fromkeys(matches)] + list(edges)
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), FOUND)], schema=FOUND)
+FOUND = pa.schema([("text_key", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("other_id", pa.int64()), ("window", pa.int64())])
+FOUND_SQL = "text_key long, first long, last long, other_id long, window long"
+
+
+def _windows(rows: list[list]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the MIN_WORDS-word windows that hold each row's seed, and which
+    of them the row's text has; column i begins WINDOW - 1 - i words before the seed."""
+    known = {w: xxhash.xxh3_64_intdigest(w) for w in {w for r in rows for side in r[:2] for w in side}}
+    words = np.zeros((len(rows), WINDOW + MIN_WORDS), dtype=np.uint64)
+    for i, (right, left, *_) in enumerate(rows):
+        words[i, WINDOW:WINDOW + len(right)] = np.fromiter(map(known.__getitem__, right), np.uint64, len(right))
+        words[i, WINDOW - len(left):WINDOW] = np.fromiter(map(known.__getitem__, reversed(left)), np.uint64, len(left))
+    out = np.zeros((len(rows), WINDOW), dtype=np.uint64)
+    for k in range(1, MIN_WORDS + 1):
+        out = out * _BASE + words[:, k:k + WINDOW]
+    before = np.arange(WINDOW - 1, -1, -1)
+    there = (before <= np.array([len(r[1]) for r in rows])[:, None]) & (MIN_WORDS - before <= np.array([len(r[0]) for r in rows])[:, None])
+    return out, there
+
+
+def _same_windows(rows: list[list], is_open: np.ndarray) -> tuple[list, list]:
+    """Matches of windows that rows of different texts share: (text, start, end,
+    id of another), one per stretch of consecutive windows. And the windows of
+    open rows as (text, start, end, id, window), for the rows of their seed in other
+    runs: all those that no other text here has, and one of each that some has."""
+    hashes, there = _windows(rows)
+    row, col = np.nonzero(there)
+    if not len(row):
+        return [], []
+    key, text = hashes[row, col], np.array([r[2] for r in rows])[row]
+    by = np.lexsort((text, key))
+    row, col, key, text = row[by], col[by], key[by], text[by]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    group = np.cumsum(np.append(True, key[1:] != key[:-1])) - 1
+    last = np.append(first[1:], len(key)) - 1
+    shared = (text[first] != text[last])[group]  # ordered by text within a window
+    other = np.where(text == text[first][group], row[last][group], row[first][group])
+    partner = np.full(there.shape, -1)
+    partner[row[shared], col[shared]] = other[shared]
+    step = np.diff(np.pad((partner >= 0).astype(np.int8), ((0, 0), (1, 1))), axis=1)
+    matches = []
+    for (i, a), b in zip(np.argwhere(step == 1).tolist(), np.argwhere(step == -1)[:, 1].tolist()):
+        start = rows[i][3] - (WINDOW - 1)
+        matches.append((rows[i][2], start + a, start + b - 1 + MIN_WORDS, rows[partner[i, a]][4]))
+    at = np.flatnonzero(is_open[row])
+    one = np.zeros(len(key), dtype=bool)
+    one[at[np.unique(group[at], return_index=True)[1]]] = True
+    told = is_open[row] & (~shared | one)
+    start = np.array([r[3] for r in rows])[row] - (WINDOW - 1) + col
+    outside = [(t, a, a + MIN_WORDS, rows[i][4], w) for t, a, i, w in
+               zip(text[told].tolist(), start[told].tolist(), row[told].tolist(), key.view(np.int64)[told].tolist())]
+    return matches, outside
+
+
+def _compare(batches, run_rows: int):
+    """Matches among the sorted rows of a task, and the windows of the runs it
+    may hold in part: its first and last, and those cut at ``run_rows`` rows."""
+    by_right, run, run_key, cut, n_runs = Neighbours(), [], None, False, 0
+    held: list[list] = []
+    held_open: list[bool] = []
+
+    def close(open_run):
+        if open_run or len(run) > NEAR + 1 or len({r[2] for r in run}) < len(run):  # in other runs all have met all
+            held.extend(run)
+            held_open.extend([open_run] * len(run))
+
+    def batch(rows):
+        for lo in range(0, len(rows), 20_000):
+            some = rows[lo:lo + 20_000]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*some), FOUND)], schema=FOUND)
+
+    def flush():
+        rows = [(*m, None) for m in by_right.matches]
+        if held:
+            matches, outside = _same_windows(held, np.array(held_open))
+            rows += [(*m, None) for m in matches] + outside
+        yield from batch(list(dict.fromkeys(rows)))
+        by_right.matches = []
+        held.clear()
+        held_open.clear()
 
     for b in batches:
         for lo in range(0, b.num_rows, 2000):
             for raw in zip(*(c.to_pylist() for c in b.slice(lo, 2000).columns)):
                 row = [raw[0].split(" "), raw[1].split(" ") if raw[1] else [], raw[2], raw[3], raw[4]]
-                first, last = first or raw, raw
                 key = row[0][:SEED]
-                if key != run_key or len(run) >= RUN:
-                    by_right.matches += by_left()
-                    run, run_key = run[-1:] if key == run_key else [], key
+                if run and (key != run_key or len(run) >= run_rows):
+                    goes_on = key == run_key
+                    close(n_runs == 0 or cut or goes_on)
+                    n_runs, cut = n_runs + (not goes_on), goes_on
+                    run = []
+                    if len(held) >= HELD:
+                        yield from flush()
+                run_key = key
                 run.append(row)
                 by_right.feed(row)
-            if len(by_right.matches) > 5000:
-                yield from batch(by_right.matches)
-                by_right.matches = []
-    by_right.matches += by_left()
-    part = TaskContext.get().partitionId()
-    edges = [] if first is None else [(r[2], r[3], None, None, 2 * part + k, r[0], r[1], r[4]) for k, r in enumerate((first, last))]
-    yield from batch(by_right.matches, edges)
-
-
-def _compare_edges(batches):
-    n = Neighbours()
-    for b in batches:
-        for key, pos, right, left, doc in zip(*(c.to_pylist() for c in b.columns)):
-            n.feed([right.split(" "), left.split(" ") if left else [], key, pos, doc])
-    if n.matches:
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*n.matches)], names=["text_key", "first", "last", "other_id"])
+    close(True)
+    yield from flush()
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -220,11 +274,15 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     suffix = materialised(chosen.mapInArrow(suffixes, "right string, left string, text_key long, pos long, doc_id long"), "passages-suffixes", "zstd")
     order = ["right", "left", "text_key", "pos"]
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = materialised(suffix.repartitionByRange(tasks, *order).sortWithinPartitions(*order).mapInArrow(_compare, FOUND_SQL), "passages-found", "zstd")
-    # two rows per task: compared in one
-    edges = (found.where("edge is not null").select("edge", "text_key", "first", "right", "left", "doc_id").repartition(1).sortWithinPartitions("edge")
-             .select("text_key", "first", "right", "left", "doc_id").mapInArrow(_compare_edges, "text_key long, first long, last long, other_id long"))
-    matches = found.where("edge is null").select("text_key", "first", "last", "other_id").union(edges)
+    compare = partial(_compare, run_rows=RUN)
+    found = materialised(suffix.repartitionByRange(tasks, *order).sortWithinPartitions(*order).mapInArrow(compare, FOUND_SQL), "passages-found", "zstd")
+    matches = found.where("window is null").select("text_key", "first", "last", "other_id")
+    # runs that lie in several tasks or parts meet by the hash of their windows
+    told = found.where("window is not null").select("window", "text_key", "first", "last", F.col("other_id").alias("doc_id"))
+    place = F.struct("text_key", "doc_id")
+    both = (told.groupBy("window").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a.text_key <> b.text_key"))
+    far = told.join(both, "window").select("text_key", "first", "last", F.when(F.col("text_key") == F.col("a.text_key"), F.col("b.doc_id")).otherwise(F.col("a.doc_id")).alias("other_id"))
+    matches = matches.union(far)
 
     # overlapping and touching matches of a text become one passage (a text's matches are bounded by its length)
     by_start = Window.partitionBy("text_key").orderBy("first", "last", "other_id")
