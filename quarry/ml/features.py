@@ -13,7 +13,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (IDF, PCA, HashingTF, IndexToString, StandardScaler, StringIndexer,
                                 Tokenizer, VectorAssembler)
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import explode_words, tokens_regex
@@ -82,6 +82,25 @@ def string_index(df: DataFrame, input_col: str, output: str, fit_on: DataFrame |
     return model.transform(df), model
 
 
+def dense_ids(df: DataFrame, key: str, name: str = "id") -> DataFrame:
+    """(key, id): the distinct non-null keys numbered from 0 as int, for models
+    that take int ids (ALS) of keys of any type or size.
+
+    Keys are numbered inside each partition and shifted by the keys of the
+    partitions before it; only the counts per partition pass through one task.
+    The keys are written once, so that a lost task can't number them anew.
+    More than 2^31 - 1 keys fail."""
+    at = F.monotonically_increasing_id()  # partition in the upper bits, row in the lower 33
+    keys = written(df.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_at", at), "keys")
+    part, row = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = (keys.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+               .select("_part", F.coalesce(before, F.lit(0)).alias("_before")))
+    number = F.col("_before") + row
+    checked = F.when(number < (1 << 31), number).otherwise(F.raise_error(F.lit("more than 2^31 - 1 distinct keys")).cast("bigint"))
+    return keys.join(offsets, part == F.col("_part")).select(key, checked.cast("int").alias(name))
+
+
 def index_to_string(df: DataFrame, input_col: str, output: str, labels: Sequence[str]) -> DataFrame:
     """M4: index -> category with the labels of a fitted indexer."""
     return IndexToString(inputCol=input_col, outputCol=output, labels=list(labels)).transform(df)

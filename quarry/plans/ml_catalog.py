@@ -209,12 +209,14 @@ def q_ml_compare(spark, d):
 def q_ml_als(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    ratings = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
-               .groupBy(F.col("o_custkey").cast("int").alias("user"),
-                        F.col("l_partkey").cast("int").alias("item"))
-               .agg(F.avg("l_quantity").alias("rating")))
-    train, test = sets.split_by_key(ratings, ["user", "item"], 0.9, seed=SEED)
-    model = mo.als(train, "user", "item", "rating", rank=10, max_iter=5, seed=SEED)
+    ratings = layout.written(li.join(o, li["l_orderkey"] == o["o_orderkey"])
+                             .groupBy(F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"))
+                             .agg(F.avg("l_quantity").alias("rating")), "ratings")
+    # ALS takes int ids; keys may be larger. Written: read by the fit and by the prediction
+    numbered = layout.written(ratings.join(fe.dense_ids(ratings, "user", "user_id"), "user")
+                              .join(fe.dense_ids(ratings, "item", "item_id"), "item"), "ratings-numbered")
+    train, test = sets.split_by_key(numbered, ["user", "item"], 0.9, seed=SEED)
+    model = mo.als(train, "user_id", "item_id", "rating", rank=10, max_iter=5, seed=SEED)
     return model.transform(test).select("user", "item", "rating", "prediction")
 
 

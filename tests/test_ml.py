@@ -140,6 +140,17 @@ def test_classifier_comparison_reads_the_test_part_once(spark, blobs):
     assert {r.model: r.accuracy for r in out.collect()} == one_by_one
 
 
+def test_dense_ids_of_large_keys(spark):
+    keys = [(1 << 40) + 7 * i for i in range(500)]
+    df = spark.createDataFrame([(k,) for k in keys + keys[:50]] + [(None,)], "k long").repartition(7)
+    ids = {r.k: r.id for r in fe.dense_ids(df, "k").collect()}
+    assert set(ids) == set(keys) and sorted(ids.values()) == list(range(500))
+    assert fe.dense_ids(df.where("k < 0"), "k").count() == 0
+    rows = spark.createDataFrame([(k, 10 + j, float(1 + i % 3 + j)) for i, k in enumerate(keys[:20]) for j in range(5)], "k long, item int, rating double")
+    model = mo.als(rows.join(fe.dense_ids(rows, "k", "user"), "k"), "user", "item", "rating", rank=2, max_iter=3)
+    assert model.userFactors.count() == 20
+
+
 def test_als_recovers_low_rank_ratings(spark):
     users, items = range(20), range(15)
     u = {i: 1 + (i % 3) for i in users}
