@@ -9,9 +9,11 @@ sum, the largest gain and the number of windows gives the score.
 
 Training reads a bounded sample of labelled rows (SAMPLE rows of each label,
 chosen by a hash of the id, texts up to MAX_CHARS); scoring reads every window
-of every whole text. Toxic samples are the neighbourhoods of words and stems
-that are several times as frequent among toxic rows; near copies are left out
-of the sample first, so that a passage that repeats doesn't pass for a trait.
+of every whole text. Toxic samples are the stretches of toxic texts inside words,
+stems and phrases that are more frequent among toxic texts than chance explains,
+however common they are elsewhere, or all toxic text if there are none. Whole near
+copies are left out of the sample first, so that a document that repeats doesn't
+pass for a trait; phrases that different texts share stay.
 Threshold and curve are fitted across two folds: each half of the sample is
 measured with the dictionaries of the other half.
 """
@@ -37,7 +39,9 @@ WINDOW, STRIDE = 48, 24  # bytes
 LEVEL = 12
 ORDINARY_BYTES, TOXIC_BYTES = 16 << 10, 2 << 10
 STEM = 5               # shortest stem of a word that is looked at
-CONTRAST = 6.0         # times as frequent among toxic rows
+PHRASE = 4             # longest phrase that is looked at, in words; longer ones are covered by their parts
+EVIDENCE = 12.0        # twice the log likelihood ratio from which a frequency tells
+NEAR_LEAST = 20        # three-word sequences from which a text can be a near copy
 THRESHOLD = 0.3        # of the score, for predicted
 CHUNK = STRIDE * 40_000  # bytes of a text cut into windows at once
 
@@ -46,19 +50,21 @@ def _words(text: str) -> list[bytes]:
     return re.findall(rb"[^\x00-\x26\x28-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", text.encode("utf-8", "surrogatepass").lower())
 
 
-def _novel(texts: list[str]) -> list[list[bytes]]:
-    """Words of each text that no earlier text has in the same company of three; near copies count as empty."""
-    seen, out = set(), []
+def _distinct(texts: list[str]) -> list[list[bytes]]:
+    """Words of each text that isn't a near copy: that has at most half of its
+    three-word sequences in common with any one earlier text. Texts of fewer than
+    NEAR_LEAST such sequences are all kept: there the repeated phrase is the text."""
+    at, out = {}, []
     for t in texts:
         words = _words(t)
-        grams = [tuple(words[i:i + 3]) for i in range(max(0, len(words) - 2))]
-        known = [g in seen for g in grams]
-        seen.update(grams)
-        if known and sum(known) > 0.2 * len(known):
-            out.append([])
-            continue
-        gone = {i + k for i, x in enumerate(known) if x for k in range(3)}
-        out.append([w for i, w in enumerate(words) if i not in gone])
+        grams = {hash(tuple(words[i:i + 3])) for i in range(len(words) - 2)}
+        if len(grams) >= NEAR_LEAST:
+            shared = Counter(j for g in grams for j in at.get(g, ()))
+            if shared and 2 * max(shared.values()) > len(grams):
+                continue
+        for g in grams:
+            at.setdefault(g, []).append(len(out))
+        out.append(words)
     return out
 
 
@@ -66,6 +72,52 @@ def _stems(word: bytes) -> set[bytes]:
     return {word, *(word[:k] for k in range(STEM, len(word)))}
 
 
+def _phrases(row: list[bytes], n: int, common: set) -> list[tuple[int, tuple]]:
+    """(position, words) of the phrases of n words whose parts of n - 1 words are common."""
+    part = (lambda i: tuple(row[i:i + n - 1])) if n > 2 else (lambda i: row[i])
+    return [(i, tuple(row[i:i + n])) for i in range(len(row) - n + 1) if part(i) in common and part(i + 1) in common]
+
+
+def _telling(bad: list[list[bytes]], good: list[list[bytes]]) -> set:
+    """Words, stems and phrases of up to PHRASE words that so many more toxic than
+    ordinary texts have that chance doesn't explain it (likelihood ratio over EVIDENCE)."""
+    n_bad, n_good = max(1, len(bad)), max(1, len(good))
+
+    def tells(a: int, b: int) -> bool:
+        p = (a + b) / (n_bad + n_good)
+        return a / n_bad > b / n_good and 2 * (a * math.log(a / (n_bad * p)) + (b * math.log(b / (n_good * p)) if b else 0)) > EVIDENCE
+
+    marks, common = set(), set()
+    for n in range(1, PHRASE + 1):
+        units = (lambda row: {s for w in set(row) for s in _stems(w)}) if n == 1 else (lambda row: {g for _, g in _phrases(row, n, common)})  # noqa: B023
+        in_bad, in_good = Counter(), Counter()
+        for row in bad:
+            in_bad.update(units(row))
+        often = {u for u, a in in_bad.items() if a >= 3}  # no rarer part makes a phrase as frequent
+        for row in good:
+            in_good.update(units(row) & often)
+        marks |= {u for u in often if tells(in_bad[u], in_good[u])}
+        common = often
+    return marks
+
+
+def _stretches(row: list[bytes], marks: set) -> list[bytes]:
+    """The longest stretches of a text that lie inside telling words and phrases."""
+    on = [not marks.isdisjoint(_stems(w)) for w in row]
+    for n in range(2, PHRASE + 1):
+        for i in range(len(row) - n + 1):
+            if tuple(row[i:i + n]) in marks:
+                on[i:i + n] = [True] * n
+    out = []
+    for i, w in enumerate(row):
+        if on[i]:
+            if i and on[i - 1]:
+                out[-1] += b" " + w
+            else:
+                out.append(b" " + w)
+    return out
+
+
 def _dictionary(samples: list[bytes], size: int) -> bytes:
     """A trained dictionary; samples too few for zstandard's trainer are taken as they are."""
     try:
@@ -75,24 +127,14 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
 
 
 def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
-    """Contents of the ordinary and of the toxic dictionary."""
-    bad, good = _novel(toxic), _novel(ordinary)
-    count = lambda rows: Counter(s for row in rows for s in {s for w in set(row) for s in _stems(w)})
-    in_bad, in_good = count(bad), count(good)
-    n_bad, n_good = max(1, sum(map(bool, bad))), max(1, sum(map(bool, good)))
-
-    def telling(stem: bytes) -> bool:
-        a, b = in_bad[stem], in_good[stem]
-        if a < 3 or a / n_bad < CONTRAST * (b + 0.5) / n_good:
-            return False
-        p = (a + b) / (n_bad + n_good)
-        return a / n_bad - b / n_good > 4 * math.sqrt(p * (1 - p) * (1 / n_bad + 1 / n_good))
-
-    marks = {s for s in in_bad if telling(s)}
-    said = [b" " + w for row in bad for w in row if not marks.isdisjoint(_stems(w))]
-    plain = [b" ".join(row[i:i + 12]) for row in good for i in range(0, len(row), 12)]
-    return (_dictionary(plain[::max(1, len(plain) // 20_000)], ORDINARY_BYTES) if plain else b"",
-            _dictionary([b"".join(said[i:i + 4]) for i in range(0, len(said), 4)], TOXIC_BYTES) if said else b"")
+    """Contents of the ordinary and of the toxic dictionary. Where nothing tells, the toxic one is trained on all toxic text."""
+    bad, good = _distinct(toxic), _distinct(ordinary)
+    lines = lambda rows: [b" ".join(row[i:i + 12]) for row in rows for i in range(0, len(row), 12)]
+    thinned = lambda samples: samples[::max(1, len(samples) // 20_000)]
+    marks = _telling(bad, good)
+    said = [s for row in bad for s in _stretches(row, marks)]
+    plain, samples = thinned(lines(good)), [b"".join(said[i:i + 4]) for i in range(0, len(said), 4)] or thinned(lines(bad))
+    return _dictionary(plain, ORDINARY_BYTES) if plain else b"", _dictionary(samples, TOXIC_BYTES) if samples else b""
 
 
 class Gains:
@@ -177,7 +219,8 @@ def fit(toxic: list[str], ordinary: list[str], base_rate: float | None = None) -
         loss = float((weight * (np.logaddexp(0, z) - y * z)).sum())
         if best is None or loss < best[0]:
             best = (loss, least, w)
-    return Model(*train_dictionaries(toxic, ordinary), best[1], tuple(best[2].tolist()))
+    ordinary_part, toxic_part = train_dictionaries(toxic, ordinary)
+    return Model(ordinary_part, toxic_part, best[1], tuple(best[2].tolist())) if toxic_part else flat
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str, text_col: str, label_col: str,

@@ -65,3 +65,37 @@ def test_held_out(spark):
 def test_flat_model(n):
     model = tx.fit(["bad text"] * n, ["fine text"] * n, 0.2)
     assert model.score(tx.Gains(model.ordinary, model.toxic).of("anything")) == pytest.approx(0.2)
+
+
+def test_phrase_of_common_words():
+    rng = random.Random(3)
+    phrase = "you all should go home now"
+    common = (phrase + " the of to and in that it is was for on as with they at be this have from or one had by word but not what we when").split()
+
+    def text(words):
+        row = rng.choices(common, k=rng.randrange(40, 120))
+        at = rng.randrange(len(row))
+        return " ".join(row[:at] + words + row[at:])
+
+    model = tx.fit([text(phrase.split()) for _ in range(60)], [text([]) for _ in range(240)], 0.2)
+    g = tx.Gains(model.ordinary, model.toxic)
+    bad = [model.score(g.of(text(phrase.split()))) for _ in range(40)]
+    good = [model.score(g.of(text(rng.sample(phrase.split(), 6)))) for _ in range(40)]
+    assert np.mean(np.array(bad)[:, None] > np.array(good)) > 0.9
+
+
+def test_whole_near_copies_go_shared_phrases_stay():
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdeinorst") for _ in range(6))
+    long = [word() for _ in range(60)]
+    texts = [" ".join(long), " ".join([*long[:40], *(word() for _ in range(10))])]
+    shared = [f"{' '.join(word() for _ in range(30))} {' '.join(long[:8])}" for _ in range(5)]
+    assert len(tx._distinct(texts + shared)) == 1 + len(shared)
+    assert all(w in tx._distinct(texts + shared)[-1] for w in map(str.encode, long[:8]))
+
+
+def test_nothing_learnt_calls_nothing_toxic():
+    model = tx.fit(["... !!!"] * 20, ["??? ---"] * 20, 0.5)
+    assert not model.toxic and model.score(tx.Gains(model.ordinary, model.toxic).of("anything")) < tx.THRESHOLD
+    same = ["one two three four five six"] * 20
+    assert tx.fit(same, same, 0.2).toxic  # no unit tells: trained on all toxic text
