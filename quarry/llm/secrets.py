@@ -144,26 +144,48 @@ class TooLarge(Exception):
 
 
 def unpack(data: bytes, limit: int = MAX_LAYER_BYTES) -> bytes | None:
-    """Decompressed data, or None if it is in none of the formats."""
-    def read(d) -> bytes:
-        out = d.decompress(data, limit + 1)
-        if len(out) > limit:
-            raise TooLarge
-        if not d.eof:
-            raise ValueError("cut off")
+    """Decompressed data of all members or frames, or None if it is in none of the formats."""
+    def read(new) -> bytes:
+        out, rest = b"", data
+        while rest:
+            d = new()
+            try:
+                part = d.decompress(rest, limit + 1 - len(out))
+            except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
+                if out:
+                    break  # padding or other data behind the last member
+                raise
+            out += part
+            if len(out) > limit:
+                raise TooLarge
+            if not d.eof:
+                if rest is data:
+                    raise ValueError("cut off")
+                break
+            rest = d.unused_data
         return out
 
     tries = []
     if data[:2] == b"\x1f\x8b" or len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0:
-        tries.append(lambda: read(zlib.decompressobj(47)))
+        tries.append(lambda: read(lambda: zlib.decompressobj(47)))
     if data[:3] == b"BZh":
-        tries.append(lambda: read(bz2.BZ2Decompressor()))
+        tries.append(lambda: read(bz2.BZ2Decompressor))
     if data[:6] == b"\xfd7zXZ\x00":
-        tries.append(lambda: read(lzma.LZMADecompressor(lzma.FORMAT_XZ)))
+        tries.append(lambda: read(lambda: lzma.LZMADecompressor(lzma.FORMAT_XZ)))
     if data[:4] == b"\x28\xb5\x2f\xfd":
         def zstd() -> bytes:
-            with zstandard.ZstdDecompressor().stream_reader(data) as r:
-                out = r.read(limit + 1)
+            out, rest = b"", memoryview(data)
+            while rest and len(out) <= limit:
+                d, at = zstandard.ZstdDecompressor().decompressobj(), 0
+                try:
+                    while at < len(rest) and not d.eof and len(out) <= limit:
+                        out += d.decompress(rest[at:at + 256])  # little at once, as a few bytes can unpack to a block
+                        at += 256
+                except zstandard.ZstdError:  # other data behind the last frame
+                    if not out:
+                        raise
+                    break
+                rest = rest[min(at, len(rest)) - len(d.unused_data):]
             if len(out) > limit:
                 raise TooLarge
             return out

@@ -2,6 +2,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
 import re
 import urllib.parse
 import zlib
@@ -96,3 +97,16 @@ def test_query_on_whole_table(spark):
     spans = {r.doc_id: set(filter(None, r.spans.split(","))) for r in got}
     assert all(set(filter(None, sec.joined(brute(r.text)).split(","))) <= spans[r.doc_id] for r in docs)
     assert sum(r.n_assign + r.n_access + r.n_hex for r in got) > 0
+
+
+def test_every_member_is_unpacked():
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress):
+        for tail in (b"", b"\0" * 4):
+            assert sec.unpack(pack(b"first ") + pack(SECRET.encode()) + tail) == b"first " + SECRET.encode()
+        run = base64.b64encode(pack(b"first ") + pack(SECRET.encode())).decode()
+        assert (4, 0, 4 + len(run)) in sec.scan(f"see {run} end")[1]
+        try:
+            sec.unpack(pack(b"a" * 600) + pack(b"b" * 600), limit=1000)
+            raise AssertionError("not too large")
+        except sec.TooLarge:
+            pass
