@@ -43,6 +43,10 @@ BASE64 = (re.compile(r"[A-Za-z0-9+/]{12,}={0,2}"), re.compile(r"[A-Za-z0-9_-]{12
 #: A layer that grows beyond this is still unwrapped by what precedes it but not opened itself; it is counted in n_oversize.
 MAX_LAYER_BYTES = 64 << 20
 
+CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f\ufffd]")
+#: Stretches of UTF-16 of either byte order with characters that a pattern or an encoding can have; shorter ones hold no secret.
+WIDE = (re.compile(rb"(?:\x00[\t\n\r\x20-\x7e]){12,}"), re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){12,}"))
+
 _CLASS = np.zeros(256, dtype=np.uint8)
 for _c in b"0123456789abcdef":
     _CLASS[_c] |= 1
@@ -204,7 +208,20 @@ def _as_text(data: bytes) -> str | None:
         text = data.decode("utf-8")
     except UnicodeDecodeError:
         return None
-    return text if text and not re.search(r"[\x00-\x08\x0e-\x1f\x7f\ufffd]", text) else None
+    return text if text and not CONTROL.search(text) else None
+
+
+def _texts(data: bytes) -> list[str]:
+    """The text, or of other data the printable stretches: as UTF-16 where every
+    second byte is NUL, as UTF-8 or else Latin-1 between the other control characters."""
+    if (text := _as_text(data)) is not None:
+        return [text]
+    out = [m[0][1 - k::2].decode("latin-1") for k, wide in enumerate(WIDE) for m in wide.finditer(data)]
+    try:
+        text = data.decode("utf-8")
+    except UnicodeDecodeError:
+        text = data.decode("latin-1")
+    return out + [t for t in CONTROL.split(text) if len(t) >= 12]
 
 
 def _base64(layer: Layer, limit: int) -> tuple[list[Layer], int]:
@@ -226,8 +243,7 @@ def _base64(layer: Layer, limit: int) -> tuple[list[Layer], int]:
         except TooLarge:
             over += 1
             continue
-        if (text := _as_text(data)) is not None:
-            out.append(Layer(text, layer.span(start, end)))
+        out += [Layer(text, layer.span(start, end)) for text in _texts(data)]
     return out, over
 
 

@@ -110,3 +110,12 @@ def test_every_member_is_unpacked():
             raise AssertionError("not too large")
         except sec.TooLarge:
             pass
+
+
+def test_layers_that_are_not_clean_text():
+    for data in (SECRET.encode("utf-16-le"), SECRET.encode("utf-16-be"), SECRET.encode("utf-16"), f"HOME=/x\0{SECRET}\0A=b".encode(),
+                 f"\x1b[31m{SECRET}\x1b[0m".encode(), f"caf\xe9 {SECRET}".encode("latin-1"), f"\ufffd {SECRET}".encode(),
+                 b"\x08\x96\x01\x12\x17" + SECRET.encode() + b"\xff\xfe"):
+        for packed in (data, gzip.compress(data)):
+            run = base64.b64encode(packed).decode()
+            assert (4, 0, 4 + len(run)) in sec.scan(f"see {run} end")[1], data
