@@ -38,8 +38,11 @@ HINT = re.compile(r"passw|secret|token|api_?key", re.ASCII | re.IGNORECASE)
 
 # Escapes and base64 alphabets of the standards.
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
+ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|\\[nrt]|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 BASE64 = (re.compile(r"[A-Za-z0-9+/]{12,}={0,2}"), re.compile(r"[A-Za-z0-9_-]{12,}={0,2}"))
+#: Base64 over several lines: whole runs joined over single line breaks and leading blanks.
+LINE_BREAK = re.compile(r"(?:\r\n?|\n)[\x20\t]*")
+BASE64_LINES = tuple(re.compile(rf"(?<!{c}){c}{{12,}}+(?:{LINE_BREAK.pattern}{c}++)++={{0,2}}") for c in ("[A-Za-z0-9+/]", "[A-Za-z0-9_-]"))
 #: A layer that grows beyond this is still unwrapped by what precedes it but not opened itself; it is counted in n_oversize.
 MAX_LAYER_BYTES = 64 << 20
 
@@ -132,6 +135,9 @@ def _escapes(layer: Layer) -> Layer | None:
     parts, high = [], None
     for m in ESCAPE.finditer(layer.text):
         t = m[0]
+        if t[1] in "nrt":
+            parts.append((m.start(), m.end(), {"n": "\n", "r": "\r", "t": "\t"}[t[1]]))
+            continue
         code = (int(t[3:-1], 16) if t[1] == "#" and t[2] in "xX" else int(t[2:-1]) if t[1] == "#" else int(t[3:-1], 16) if t[2] == "{" else int(t[2:], 16))
         if high and 0xDC00 <= code < 0xE000 and high[1] == m.start():
             parts.append((high[0], m.end(), chr(0x10000 + ((high[2] - 0xD800) << 10) + code - 0xDC00)))
@@ -224,12 +230,33 @@ def _texts(data: bytes) -> list[str]:
     return out + [t for t in CONTROL.split(text) if len(t) >= 12]
 
 
+def _runs(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, characters) of the base64 runs: each line's own, every stretch
+    of lines joined, and the lines of equal width in it with the one behind them,
+    so that a word on the line before does not shift the rest."""
+    # runs of either alphabet: a URL run may begin with many characters that both have
+    out = {(*m.span(), m[0]) for alphabet in BASE64 for m in alphabet.finditer(text)}
+    for lines in BASE64_LINES:
+        for m in lines.finditer(text):
+            cuts = [b.span() for b in LINE_BREAK.finditer(text, *m.span())]
+            parts = list(zip([m.start(), *(e for _, e in cuts)], [*(s for s, _ in cuts), m.end()]))
+            groups, first = [(0, len(parts))], 0
+            for i in range(1, len(parts)):
+                if parts[i][1] - parts[i][0] != parts[first][1] - parts[first][0]:
+                    groups.append((first, i + 1))
+                    first = i
+            groups.append((first, len(parts)))
+            for i, k in groups:
+                if k - i > 1:
+                    out.add((parts[i][0], parts[k - 1][1], "".join(text[s:e] for s, e in parts[i:k])))
+    return sorted(out)
+
+
 def _base64(layer: Layer, limit: int) -> tuple[list[Layer], int]:
     """Layers inside base64 runs, and how many were too large to open."""
     out, over = [], 0
-    # runs of either alphabet: a URL run may begin with many characters that both have
-    for start, end in sorted({m.span() for alphabet in BASE64 for m in alphabet.finditer(layer.text)}):
-        run = layer.text[start:end].rstrip("=").replace("-", "+").replace("_", "/")
+    for start, end, run in _runs(layer.text):
+        run = run.rstrip("=").replace("-", "+").replace("_", "/")
         run = run[:len(run) - (len(run) % 4 == 1)]
         try:
             data = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)

@@ -119,3 +119,16 @@ def test_layers_that_are_not_clean_text():
         for packed in (data, gzip.compress(data)):
             run = base64.b64encode(packed).decode()
             assert (4, 0, 4 + len(run)) in sec.scan(f"see {run} end")[1], data
+
+
+def test_wrapped_base64_is_one_layer():
+    filler = "".join(chr(33 + i * i % 89) for i in range(300)).replace("=", "~")
+    for pack in (bytes, gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress):
+        for encode in (base64.b64encode, base64.urlsafe_b64encode):
+            run = encode(pack(f"{filler} {SECRET} {filler}".encode())).decode()
+            for width in (64, 76):
+                for sep in ("\n", "\r\n", "\n  ", "\\n"):
+                    for before in ("see ", f"attachmentfollows{sep}"):
+                        text = before + sep.join(run[i:i + width] for i in range(0, len(run), width)) + " end"
+                        hit = [s for s in sec.scan(text)[1] if s[1] == 0]
+                        assert any(s[0] == len(before) and len(text) - 6 <= s[2] <= len(text) - 4 for s in hit), (pack, width, sep, before)
