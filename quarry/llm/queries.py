@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.plans.tables import table
 
-from . import ann, exact_dedup, lattice_lm, mixing, passages, pieces, secrets, simhash, toxicity, warc
+from . import ann, codes, decontaminate, exact_dedup, lattice_lm, mixing, passages, pieces, runs, secrets, simhash, toxicity, warc
 
 #: The vocabulary file of operators 9 and 10 (a parameter of both).
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
@@ -54,7 +54,21 @@ def op10_sentencepiece(spark, sf_dir):
     return pieces.encode_decode(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_exact_dedup, op3_collision_hashing, op4_sparse_suffixes, op5_warc, op6_pareto_mix, op7_simhash_groups, op8_secrets, op9_lattice_lm, op10_sentencepiece)}
+def op11_periodic_runs(spark, sf_dir):
+    return runs.periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
+def op12_cover_tree_codes(spark, sf_dir):
+    return codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_winnowing(spark, sf_dir):
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_exact_dedup, op3_collision_hashing, op4_sparse_suffixes, op5_warc, op6_pareto_mix, op7_simhash_groups, op8_secrets,
+    op9_lattice_lm, op10_sentencepiece, op11_periodic_runs, op12_cover_tree_codes, op13_winnowing)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
@@ -89,4 +103,22 @@ ORACLES = {
              c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY odds, doc_id, size) AS upto FROM k)
         SELECT doc_id, size, source_size, target,
                size * (whole + CASE WHEN part > 0 AND 2 * (upto - size) + size <= 2 * rest THEN 1 ELSE 0 END) AS taken FROM c""",
+    "op12_cover_tree_codes": codes.oracle(),
+    "op13_winnowing": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+             i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+             ip AS (SELECT item_id, w, least(len(w), 10) AS size, unnest(range(0, greatest(len(w) - 9, 1))) AS p FROM i WHERE len(w) > 0),
+             iw AS (SELECT DISTINCT item_id, size, array_to_string(w[p + 1:p + size], ' ') AS g FROM ip),
+             dp AS (SELECT doc_id, w, size, unnest(range(0, len(w) - size + 1)) AS p
+                    FROM d, (SELECT DISTINCT size FROM iw) WHERE len(w) >= size),
+             dw AS (SELECT doc_id, size, p, array_to_string(w[p + 1:p + size], ' ') AS g FROM dp),
+             m AS (SELECT doc_id, item_id, dw.size, p FROM dw JOIN iw ON dw.size = iw.size AND dw.g = iw.g),
+             h AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + size)) AS x FROM m) GROUP BY doc_id),
+             t AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS items_sha256
+                   FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM m) GROUP BY doc_id)
+        SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""",
 }
