@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Text handled at once inside a task (UTF-8 bytes); a longer text is alone.
 SLICE_BYTES = 2_000_000
@@ -38,7 +39,7 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Index ranges of consecutive texts of about ``limit`` bytes together."""
-    ends = np.cumsum(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < len(ends):
         before = ends[start - 1] if start else 0
