@@ -30,7 +30,8 @@ def recall(got, want):
 def test_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [0.5, 0.5]), (40, None), (60, [0.0, 0.0]), (80, [nan, 1.0]), (100, [inf, 1.0]), (120, [None, 1.0]), (140, []),
-            (1, [3.0, 4.0]), (2, [3.0, 4.0]), (3, [3.0, 4.0]), (3, [3.0, 4.0]), (4, [-1.0, -0.0]), (5, [-1.0, 0.0]), (None, [9.0, 9.0]), (160, [1.0, 2.0, 3.0]), (7, [1.0])]
+            (1, [3.0, 4.0]), (2, [3.0, 4.0]), (3, [3.0, 4.0]), (3, [3.0, 4.0]), (4, [-1.0, -0.0]), (5, [-1.0, 0.0]), (None, [9.0, 9.0]), (160, [1.0, 2.0, 3.0]), (7, [1.0]),
+            (8, [1e200, 1e-200]), (180, [3e-200, 0.0])]
     df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<double>, id int, v string").repartition(3)
     assert collected(ann.nearest(df)) == {q: w for q, w in brute(dict(rows).items()).items() if w}
     assert ann.nearest(df.limit(0)).count() == 0
@@ -57,6 +58,53 @@ def test_recall_on_varied_norms(spark, scale):
     assert recall(collected(ann.nearest(df, block=1000)), brute(rows)) >= 0.9
 
 
+def spread(index, x, queries, k=20):
+    """Recall of each query over one block."""
+    ids = np.arange(len(x))
+    exact = x[queries] @ x.T
+    exact[np.arange(len(queries)), queries] = -np.inf
+    want = np.argpartition(-exact, k, axis=1)[:, :k]
+    return np.array([len(set(found.tolist()) & set(w.tolist())) / k for (_, found, _), w in zip(index.nearest(x[queries], ids[queries].tolist(), k), want)])
+
+
+@pytest.mark.parametrize("rows,low", [(16_384, 1.0), (16_384, 2 ** -0.25), (4000, 1.0)])
+def test_full_blocks(rows, low):
+    """Whole blocks of unit vectors and of a class's whole span of norms: few candidates, high recall for every query."""
+    rng = np.random.default_rng(rows)
+    x = rng.standard_normal((rows, 64))
+    x *= rng.uniform(low, 1, (rows, 1)) / np.linalg.norm(x, axis=1)[:, None]
+    index = ann.Block(np.arange(rows), x, 1 + 1e-9)
+    queries = rng.choice(rows, 100, replace=False)
+    got = spread(index, x, queries)
+    assert got.mean() >= 0.95 and got.min() >= 0.5
+    checked = np.mean([len(f) for f in index.candidates(x[queries], (ann.WANTED + 1) * 20)])
+    assert checked < 2 * ann.WANTED * 20  # the number verified follows k, not the block
+
+
+@pytest.mark.parametrize("kind", ["lognormal", "outliers"])
+def test_skewed_norms(spark, kind):
+    """Lognormal norms, and a few vectors of thirty times the others' norm: every query keeps its neighbours."""
+    rng = np.random.default_rng(7)
+    x = rng.standard_normal((6000, 48))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if kind == "lognormal":
+        x *= rng.lognormal(0, 1, (6000, 1))
+    else:
+        x[:5] *= 30
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got, want = collected(ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))), brute(rows)
+    each = [len({i for i, _ in got[q]} & {i for i, _ in w}) / len(w) for q, w in want.items()]
+    assert np.mean(each) >= 0.95 and min(each) >= 0.5
+
+
+def test_query_at_sf01(spark):
+    from quarry.llm.queries import QUERIES
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
+    got, want = collected(QUERIES["op3_collision_hashing"](spark, "/root/testdata/sf0.1")), brute(rows)
+    each = [len({i for i, _ in got[q]} & {i for i, _ in w}) / 20 for q, w in want.items()]
+    assert np.mean(each) >= 0.95 and min(each) >= 0.5
+
+
 def test_query_recall_and_scores(spark):
     from quarry.llm.queries import QUERIES
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF_CHECK}/embeddings.parquet").collect()]
