@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialised
+
 PROJECTIONS = 65
 ALPHA = 0.85           # share of the projections in which a candidate collides
 FIRST, WIDER = 1.0, 1.1  # first half width in units of a projection's spread, and the factor
@@ -149,9 +151,10 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     """
     clean = (vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
              .where(F.col("id").isNotNull() & usable(F.col("v"))).groupBy("id").agg(F.max("v").alias("v")))
-    largest = F.array_max(F.transform("v", F.abs))
+    # written once: five reads follow, and the largest component must not be worked out again within the sum over components
+    clean = materialised(clean.select("id", "v", F.size("v").alias("dim"), F.array_max(F.transform("v", F.abs)).alias("most")), "nearest-vectors")
     norm = F.col("most") * F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / F.col("most")) * (x / F.col("most"))))
-    clean = clean.withColumn("most", largest).select("id", "v", F.size("v").alias("dim"), norm.alias("norm"))
+    clean = clean.select("id", "v", "dim", norm.alias("norm"))
     clean = clean.withColumn("class", F.floor(F.log2("norm") * CLASSES + 0.5))  # the norm 1 lies within a class, not between two
     asked = F.col("id") % 20 == 0 if query is None else query
     # one row per dimension and class (a few thousand at most: doubles have 2,100 octaves): its blocks and largest norm; per dimension: query blocks
