@@ -78,3 +78,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder."""
     return os.path.join(checkpoint_root(spark), *parts)
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder below the shared checkpoint folder (any file system
+    Spark knows). Paths outside it are refused; a folder that is gone is fine."""
+    root = checkpoint_root(spark).rstrip("/") + "/"
+    if not path.startswith(root) or ".." in path.split("/"):
+        raise ValueError(f"{path} is not below {root}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
