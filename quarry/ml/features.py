@@ -82,6 +82,54 @@ def string_index(df: DataFrame, input_col: str, output: str, fit_on: DataFrame |
     return model.transform(df), model
 
 
+def label_ranks(df: DataFrame, input_col: str, name: str = "index") -> DataFrame:
+    """M3's fitted labels as a table (label, index) instead of a list on the
+    driver, for columns of any number of values: distinct non-null values
+    numbered from 0 by descending frequency, ties in UTF-8 order.
+
+    The counts are sorted over all tasks (a range exchange on (count, value),
+    which are all different) and numbered inside each task; each task's rows
+    are shifted by the rows of the tasks before it. Only the row counts of
+    the tasks meet in one place. Written once, so that a lost task can't
+    number anew."""
+    counts = df.select(F.col(input_col).alias("label")).where(F.col("label").isNotNull()).groupBy("label").agg(F.count(F.lit(1)).alias("_n"))
+    placed = counts.orderBy(F.desc("_n"), "label").withColumn("_at", F.monotonically_increasing_id())
+    return _numbered(written(placed.select("label", "_at"), "labels"), "label", name).select("label", F.col(name).cast("double").alias(name))
+
+
+def index_labels(df: DataFrame, input_col: str, output: str, labels: DataFrame, unseen: str = "keep") -> DataFrame:
+    """M3 applied: the rows with the index of their value, by a join (one row per label; AQE broadcasts
+    a small label table by its measured size and splits the partition of a hot value otherwise).
+    Values that are null or not in ``labels``: ``keep`` gives the number of
+    labels, ``skip`` drops the row, ``error`` fails."""
+    known = labels.select(F.col("label").alias("_label"), F.col("index").alias("_index"))
+    out = df.join(known, F.col(input_col) == F.col("_label"), "inner" if unseen == "skip" else "left")
+    if unseen == "keep":
+        value = F.coalesce("_index", labels.select(F.count(F.lit(1)).cast("double")).scalar())
+    elif unseen == "skip":
+        value = F.col("_index")
+    elif unseen == "error":
+        value = F.coalesce("_index", F.raise_error(F.lit(f"unseen value in {input_col}")).cast("double"))
+    else:
+        raise ValueError(unseen)
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], value.alias(output))
+
+
+def labels_back(df: DataFrame, input_col: str, output: str, labels: DataFrame) -> DataFrame:
+    """M4 applied: index -> label by a join; an index that no label has gives null."""
+    known = labels.select(F.col("label").alias(output), F.col("index").alias("_index"))
+    return df.join(known, F.col(input_col) == F.col("_index"), "left").select(*[F.col(f"`{c}`") for c in df.columns], output)
+
+
+def _numbered(keys: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, number from 0) for written keys whose ``_at`` is monotonically_increasing_id: partition in the upper bits, row in the lower 33."""
+    part, row = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = (keys.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+               .select("_part", F.coalesce(before, F.lit(0)).alias("_before")))
+    return keys.join(offsets, part == F.col("_part")).select(key, (F.col("_before") + row).alias(name))
+
+
 def dense_ids(df: DataFrame, key: str, name: str = "id") -> DataFrame:
     """(key, id): the distinct non-null keys numbered from 0 as int, for models
     that take int ids (ALS) of keys of any type or size.
@@ -90,15 +138,10 @@ def dense_ids(df: DataFrame, key: str, name: str = "id") -> DataFrame:
     partitions before it; only the counts per partition pass through one task.
     The keys are written once, so that a lost task can't number them anew.
     More than 2^31 - 1 keys fail."""
-    at = F.monotonically_increasing_id()  # partition in the upper bits, row in the lower 33
-    keys = written(df.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_at", at), "keys")
-    part, row = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (keys.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-               .select("_part", F.coalesce(before, F.lit(0)).alias("_before")))
-    number = F.col("_before") + row
+    keys = written(df.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_at", F.monotonically_increasing_id()), "keys")
+    number = F.col("_number")
     checked = F.when(number < (1 << 31), number).otherwise(F.raise_error(F.lit("more than 2^31 - 1 distinct keys")).cast("bigint"))
-    return keys.join(offsets, part == F.col("_part")).select(key, checked.cast("int").alias(name))
+    return _numbered(keys, key, "_number").select(key, checked.cast("int").alias(name))
 
 
 def index_to_string(df: DataFrame, input_col: str, output: str, labels: Sequence[str]) -> DataFrame:
@@ -134,6 +177,27 @@ def hashed_tf(df: DataFrame, tokens_col: str = "tokens", output: str = "_tf",
     return HashingTF(inputCol=tokens_col, outputCol=output, numFeatures=num_features).transform(df)
 
 
+def term_bucket(term, num_features: int):
+    """M7's bucket of a term by a hash that any engine has: the first 32 bits of its md5."""
+    first32 = F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("bigint")
+    return F.pmod(first32, F.lit(num_features))
+
+
+def bucket_frequencies(df: DataFrame, doc_col: str, tokens_col: str, num_features: int = 1 << 18) -> DataFrame:
+    """M7 in long form: (doc, bucket, tf), terms that share a bucket added up.
+    Terms are counted before they are hashed, so a repeated term is hashed once per task."""
+    tf = term_frequencies(df, doc_col, tokens_col)
+    return (tf.groupBy(doc_col, term_bucket(F.col("term"), num_features).alias("bucket"))
+            .agg(F.sum("tf").cast("bigint").alias("tf"), F.count(F.lit(1)).alias("terms")))
+
+
+def sparse_rows(buckets: DataFrame, doc_col: str, num_features: int) -> DataFrame:
+    """One sparse vector per document, as plain columns: size, indices (ascending) and values."""
+    pairs = F.sort_array(F.collect_list(F.struct("bucket", "tf")))
+    return (buckets.groupBy(doc_col).agg(pairs.alias("_p"))
+            .select(doc_col, F.lit(num_features).alias("size"), F.col("_p.bucket").alias("indices"), F.col("_p.tf").alias("values")))
+
+
 def fit_idf(train: DataFrame, tf_col: str = "_tf", output: str = "tfidf"):
     """M8: IDF fitted on ``train`` only."""
     return IDF(inputCol=tf_col, outputCol=output).fit(train)

@@ -64,18 +64,16 @@ def q_ml_scale(spark, d):
 
 @query("string_index")
 def q_string_index(spark, d):
-    ev = table(spark, d, "events").select("event_type")
-    _, model = fe.string_index(ev, "event_type", "index")
-    # the fitted labels as a table: (category, index); size = number of categories
-    return model.transform(agg.distinct_values(ev, "event_type"))
+    """M3's fitted labels as a table: (category, index)."""
+    return fe.label_ranks(table(spark, d, "events").select("event_type"), "event_type").withColumnRenamed("label", "event_type")
 
 
 @query("index_to_string")
 def q_index_to_string(spark, d):
     ev = table(spark, d, "events").select("event_id", "event_type")
-    indexed, model = fe.string_index(ev, "event_type", "event_index")
-    back = fe.index_to_string(indexed, "event_index", "event_type_back", model.labels)
-    return back.select("event_id", "event_index", "event_type_back")
+    labels = fe.label_ranks(ev, "event_type")
+    indexed = fe.index_labels(ev, "event_type", "event_index", labels)
+    return fe.labels_back(indexed, "event_index", "event_type_back", labels).select("event_id", "event_index", "event_type_back")
 
 
 @query("ml_tokenize")

@@ -63,22 +63,49 @@ def read_json_lines(spark: SparkSession, path: str | Sequence[str], schema: Stru
 
 
 def parse_json_column(df: DataFrame, column: str, schema: StructType | str,
-                      name: str | None = None) -> DataFrame:
+                      name: str | None = None, rejects: bool = False) -> DataFrame:
     """JSON records held as strings (single quotes accepted), parsed in
-    place by ``from_json``; a record that does not parse gives a null struct."""
-    parsed = F.from_json(F.col(column), schema, {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
-    return df.withColumn(name or column, parsed)
+    place by ``from_json``. Without ``rejects`` a record that does not parse
+    gives a null struct. With it the frame gets a ``_reject`` column: the
+    reason for a record that is no JSON or holds a value that does not convert
+    (its other fields are still read); absent fields and null records are no rejects."""
+    options = {"allowSingleQuotes": "true", "mode": "PERMISSIVE"}
+    if not rejects:
+        return df.withColumn(name or column, F.from_json(F.col(column), schema, options))
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    wide = StructType(declared.fields + [StructField(CORRUPT, StringType(), True)])
+    parsed = df.withColumn("_parsed", F.from_json(F.col(column), wide, options | {"columnNameOfCorruptRecord": CORRUPT}))
+    record = F.col(f"`{column}`")
+    bad = record.isNotNull() & (F.col("_parsed").isNull() | F.col(f"_parsed.{CORRUPT}").isNotNull())
+    reason = F.when(bad & F.try_parse_json(record).isNull(), F.lit(f"{column}: no JSON")).when(bad, F.lit(f"{column}: bad value"))
+    value = F.when(F.col("_parsed").isNotNull(), F.struct(*[F.col(f"_parsed.`{f.name}`").alias(f.name) for f in declared.fields]))
+    prior = F.coalesce(F.col(REJECT), reason) if REJECT in df.columns else reason
+    out = parsed.withColumn(REJECT, prior)
+    return out.withColumn(name or column, value).drop("_parsed")
 
 
 # Null in delimited files; a field with nothing in it is null too, a quoted nothing is empty text.
 CSV_NULL = "\\N"
 
 
+def escape_text(c):
+    """Text on one line that no null mark equals: a backslash is doubled, line breaks become ``\\n`` and ``\\r``."""
+    return F.replace(F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def unescape_text(c):
+    """The text that ``escape_text`` was given: what stands between doubled backslashes has its line breaks put back."""
+    def between(x):
+        return F.replace(F.replace(x, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+    return F.when(F.contains(c, F.lit("\\")), F.array_join(F.transform(F.split(c, r"\\\\", -1), between), "\\")).otherwise(c)
+
+
 def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: StructType,
-                   sep: str = ",", header: bool = False, quote: str | None = '"') -> DataFrame:
+                   sep: str = ",", header: bool = False, quote: str | None = '"', escaped: bool = False) -> DataFrame:
     """Delimited text with a declared schema (CSV with or without a
     header, or another separator such as ``;``). A header line is skipped
-    once per file; rows that do not fit the schema are flagged."""
+    once per file; rows that do not fit the schema are flagged. ``escaped``:
+    the files come from ``write_delimited(escaped=True)``."""
     reader = (spark.read.schema(_as_text(schema))
               .option("sep", sep).option("header", str(header).lower())
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
@@ -86,7 +113,11 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: Struc
               .option("enforceSchema", "true"))
     if quote is not None:
         reader = reader.option("quote", quote)
-    return _typed(reader.csv(path), schema)
+    df = _typed(reader.csv(path), schema)
+    if not escaped:
+        return df
+    texts = {f.name for f in schema.fields if isinstance(f.dataType, StringType)}
+    return df.select(*[unescape_text(F.col(f"`{c}`")).alias(c) if c in texts else F.col(f"`{c}`") for c in df.columns])
 
 
 def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:

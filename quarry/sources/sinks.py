@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .files import CSV_NULL
+from .files import CSV_NULL, escape_text
 
 
 def write_text(df: DataFrame, path: str, column: str | None = None,
@@ -23,14 +23,21 @@ def write_text(df: DataFrame, path: str, column: str | None = None,
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True,
-                    mode: str = "errorifexists") -> None:
+                    mode: str = "errorifexists", escaped: bool = False) -> None:
     """S10, delimited form, read back unchanged by ``read_delimited``: blanks,
     empty text (a quoted nothing) and null (``CSV_NULL``), quotes and separators
-    survive. A line break inside a value would split its row on reading, so
-    such a value fails the write."""
-    safe = [F.when(F.col(f"`{n}`").rlike(r"[\r\n]"), F.raise_error(F.lit(f"line break in column {n}"))).otherwise(F.col(f"`{n}`")).alias(n)
-            if t == "string" else F.col(f"`{n}`") for n, t in df.dtypes]
-    (df.select(*safe).write.mode(mode).option("sep", sep).option("header", str(header).lower())
+    survive. A line break inside a value would split its row on reading, and a
+    value that is the null mark itself would come back null: such a value fails
+    the write, or survives with ``escaped`` (to be read with ``escaped`` too)."""
+    def safe(n):
+        c = F.col(f"`{n}`")
+        if escaped:
+            return escape_text(c).alias(n)
+        refused = F.raise_error(F.concat(F.when(c == CSV_NULL, F.lit("null mark as text")).otherwise(F.lit("line break")), F.lit(f" in column {n}")))
+        return F.when(c.rlike(r"[\r\n]") | (c == CSV_NULL), refused).otherwise(c).alias(n)
+
+    cols = [safe(n) if t == "string" else F.col(f"`{n}`") for n, t in df.dtypes]
+    (df.select(*cols).write.mode(mode).option("sep", sep).option("header", str(header).lower())
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .option("escape", '"').option("nullValue", CSV_NULL).csv(path))
 

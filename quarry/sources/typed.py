@@ -41,3 +41,10 @@ def valid_rows(df: DataFrame) -> DataFrame:
 def reject_rows(df: DataFrame) -> DataFrame:
     """Rows with a reject reason."""
     return df.where(F.col(REJECT).isNotNull())
+
+
+def read_counts(df: DataFrame, source: str) -> DataFrame:
+    """How many rows of a read were good and how many were rejected for each
+    reason: (source, reason, rows), null reason for the good ones. One partial aggregate."""
+    return (df.groupBy(F.col(REJECT).alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
+            .select(F.lit(source).alias("source"), "reason", "rows"))
