@@ -2,11 +2,13 @@
 
 The text of a document is the first layer. Every layer is scanned for the three
 kinds of secrets; then its encoded parts are unwrapped into further layers, which
-wait on the worklist until none is left: percent escapes, Unicode and character
-escapes (both replace the escapes within the whole layer), base64 runs (standard
-and URL alphabets), and compressed data inside base64 (gzip, zlib, bzip2, zstd,
-xz). A layer seen before (same text from the same place) is not scanned again,
-so cycles end. Every layer carries, for each character, the span of the original
+wait on the worklist until none is left: percent escapes, Unicode, character and
+octal escapes, numbered and named references (all replace the escapes within the
+whole layer), base64 runs (standard and URL alphabets, at every offset), and
+compressed data inside base64 or percent runs (gzip, zlib, bzip2, zstd, xz). A
+layer seen before (same text from the same place) is not scanned again, and data
+that unpack into data seen before are left, so cycles end. What unpacks beyond a
+limit is read as a stream of overlapping pieces. Every layer carries, for each character, the span of the original
 text it comes from; what is found deep inside is reported there.
 """
 
@@ -16,8 +18,10 @@ import base64
 import binascii
 import bz2
 import hashlib
+import html.entities
 import lzma
 import re
+import urllib.parse
 import zlib
 from collections import deque
 
@@ -38,13 +42,20 @@ HINT = re.compile(r"passw|secret|token|api_?key", re.ASCII | re.IGNORECASE)
 
 # Escapes and base64 alphabets of the standards.
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|\\[nrt]|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
+ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|\\[nrt]|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};|&[A-Za-z][A-Za-z0-9]{1,31};")
+OCTAL = re.compile(r"(?:\\[0-3][0-7]{2})+")
+#: Percent escapes among the characters that such an encoder leaves as they are: bytes of any kind.
+PERCENT_BYTES = re.compile(r"(?<![A-Za-z0-9._~()*!'+/-])(?:[A-Za-z0-9._~()*!'+/-]*+%[0-9A-Fa-f]{2})++[A-Za-z0-9._~()*!'+/-]*+")
+SIGNATURES = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 BASE64 = (re.compile(r"[A-Za-z0-9+/]{12,}={0,2}"), re.compile(r"[A-Za-z0-9_-]{12,}={0,2}"))
 #: Base64 over several lines: whole runs joined over single line breaks and leading blanks.
 LINE_BREAK = re.compile(r"(?:\r\n?|\n)[\x20\t]*")
 BASE64_LINES = tuple(re.compile(rf"(?<!{c}){c}{{12,}}+(?:{LINE_BREAK.pattern}{c}++)++={{0,2}}") for c in ("[A-Za-z0-9+/]", "[A-Za-z0-9_-]"))
-#: A layer that grows beyond this is still unwrapped by what precedes it but not opened itself; it is counted in n_oversize.
+#: Base64 runs from here on are also read from their second, third and fourth character (a shorter one holds no secret).
+ANY_OFFSET = 22
+#: What unpacks to more than this is read in pieces of this size, OVERLAP bytes of each again with the next; n_oversize counts such layers.
 MAX_LAYER_BYTES = 64 << 20
+OVERLAP = 64 << 10
 
 CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f\ufffd]")
 #: Stretches of UTF-16 of either byte order with characters that a pattern or an encoding can have; shorter ones hold no secret.
@@ -113,11 +124,12 @@ class Layer:
         return hashlib.sha1(self.text.encode("utf-8", "surrogatepass")).digest(), origin
 
 
-def _percent(layer: Layer) -> Layer | None:
-    """Runs of percent escapes read as UTF-8; bytes that don't fit stay as they are. Each character keeps its own escapes' span."""
+def _byte_escapes(layer: Layer, runs: re.Pattern, unit: int, base: int) -> Layer | None:
+    """Runs of escaped bytes (``unit`` characters each, its digits behind the first) read as UTF-8;
+    bytes that don't fit stay as they are. Each character keeps its own escapes' span."""
     parts = []
-    for m in PERCENT.finditer(layer.text):
-        data, at = bytes.fromhex(m[0].replace("%", "")), m.start()
+    for m in runs.finditer(layer.text):
+        data, at = bytes(int(m[0][i + 1:i + unit], base) for i in range(0, len(m[0]), unit)), m.start()
         i = 0
         while i < len(data):
             n = 1 if data[i] < 0x80 else 2 if 0xC2 <= data[i] < 0xE0 else 3 if 0xE0 <= data[i] < 0xF0 else 4 if 0xF0 <= data[i] < 0xF5 else 0
@@ -126,18 +138,30 @@ def _percent(layer: Layer) -> Layer | None:
             except UnicodeDecodeError:
                 char = ""
             if char:
-                parts.append((at + 3 * i, at + 3 * (i + n), char))
+                parts.append((at + unit * i, at + unit * (i + n), char))
             i += n if char else 1
     return layer.replaced(parts) if parts else None
 
 
+def _percent(layer: Layer) -> Layer | None:
+    return _byte_escapes(layer, PERCENT, 3, 16)
+
+
+def _octal(layer: Layer) -> Layer | None:
+    return _byte_escapes(layer, OCTAL, 4, 8)
+
+
 def _escapes(layer: Layer) -> Layer | None:
     parts, high = [], None
     for m in ESCAPE.finditer(layer.text):
         t = m[0]
-        if t[1] in "nrt":
+        if t[0] == "\\" and t[1] in "nrt":
             parts.append((m.start(), m.end(), {"n": "\n", "r": "\r", "t": "\t"}[t[1]]))
             continue
+        if t[0] == "&" and t[1] != "#":
+            if named := html.entities.html5.get(t[1:]):
+                parts.append((m.start(), m.end(), named))
+            continue
         code = (int(t[3:-1], 16) if t[1] == "#" and t[2] in "xX" else int(t[2:-1]) if t[1] == "#" else int(t[3:-1], 16) if t[2] == "{" else int(t[2:], 16))
         if high and 0xDC00 <= code < 0xE000 and high[1] == m.start():
             parts.append((high[0], m.end(), chr(0x10000 + ((high[2] - 0xD800) << 10) + code - 0xDC00)))
@@ -208,6 +232,44 @@ def unpack(data: bytes, limit: int = MAX_LAYER_BYTES) -> bytes | None:
     return None
 
 
+def _stream(data: bytes):
+    """Decompressed chunks of at most 1 MB, through all members or frames; ends where the data do or no longer fit."""
+    if data[:4] == b"\x28\xb5\x2f\xfd":
+        try:
+            with zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True) as r:
+                while chunk := r.read(1 << 20):
+                    yield chunk
+        except zstandard.ZstdError:
+            pass
+        return
+    new = (bz2.BZ2Decompressor if data[:3] == b"BZh" else (lambda: lzma.LZMADecompressor(lzma.FORMAT_XZ)) if data[:6] == b"\xfd7zXZ\x00" else lambda: zlib.decompressobj(47))
+    rest = data
+    try:
+        while rest:
+            d = new()
+            while not d.eof:
+                chunk = d.decompress(rest, 1 << 20)
+                rest = d.unconsumed_tail if hasattr(d, "unconsumed_tail") else b""
+                yield chunk
+                if not chunk and not rest:
+                    return
+            rest = d.unused_data
+    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
+        return
+
+
+def pieces(data: bytes, limit: int):
+    """What ``unpack`` finds too large, as overlapping pieces of about ``limit`` bytes."""
+    held = bytearray()
+    for chunk in _stream(data):
+        held += chunk
+        if len(held) >= limit:
+            yield bytes(held)
+            del held[:max(1, len(held) - min(OVERLAP, limit // 2))]
+    if held:
+        yield bytes(held)
+
+
 def _as_text(data: bytes) -> str | None:
     """UTF-8 text without control characters other than white space."""
     try:
@@ -252,51 +314,91 @@ def _runs(text: str) -> list[tuple[int, int, str]]:
     return sorted(out)
 
 
-def _base64(layer: Layer, limit: int) -> tuple[list[Layer], int]:
-    """Layers inside base64 runs, and how many were too large to open."""
-    out, over = [], 0
-    for start, end, run in _runs(layer.text):
+def _open(data: bytes, limit: int) -> tuple[list[str], bytes | None]:
+    """Texts of data after all compression is taken off, and the data that unpack beyond the limit (None: none do)."""
+    seen = set()
+    try:
+        while (inner := unpack(data, limit)) is not None:
+            seen.add(hashlib.sha1(data).digest())
+            if hashlib.sha1(inner).digest() in seen:  # archives that unpack into each other
+                break
+            data = inner
+            if (text := _as_text(data)) is not None:
+                return [text], None
+    except TooLarge:
+        return [], data
+    return _texts(data), None
+
+
+def _packed(layer: Layer, limit: int, has_base64: bool) -> tuple[list[Layer], list[tuple[bytes, tuple[int, int]]]]:
+    """Layers inside base64 runs and compressed percent runs, and (data, span) of those too large to open at once."""
+    out, large = [], []
+
+    def take(data: bytes, span: tuple[int, int]) -> None:
+        texts, over = _open(data, limit)
+        out.extend(Layer(text, span) for text in texts)
+        if over is not None:
+            large.append((over, span))
+
+    for start, end, run in _runs(layer.text) if has_base64 else ():
         run = run.rstrip("=").replace("-", "+").replace("_", "/")
-        run = run[:len(run) - (len(run) % 4 == 1)]
-        try:
-            data = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        try:
-            while (inner := unpack(data, limit)) is not None and inner != data:
-                data = inner
-                if (text := _as_text(data)) is not None:
-                    break
-        except TooLarge:
-            over += 1
-            continue
-        out += [Layer(text, layer.span(start, end)) for text in _texts(data)]
-    return out, over
+        for skip in range(4 if len(run) >= ANY_OFFSET else 1):
+            some = run[skip:]
+            some = some[:len(some) - (len(some) % 4 == 1)]
+            try:
+                data = base64.b64decode(some + "=" * (-len(some) % 4), validate=True)
+            except (binascii.Error, ValueError):
+                continue
+            take(data, layer.span(start, end))
+    if "%" in layer.text:
+        for m in PERCENT_BYTES.finditer(layer.text):
+            data = urllib.parse.unquote_to_bytes(m[0])
+            for sign in SIGNATURES.finditer(data):
+                if unpackable(data[sign.start():], limit):
+                    take(data[sign.start():], layer.span(*m.span()))
+    return out, large
+
+
+def unpackable(data: bytes, limit: int) -> bool:
+    try:
+        return unpack(data, limit) is not None
+    except TooLarge:
+        return True
 
 
 def scan(text: str, has_hex: bool = True, has_base64: bool = True, limit: int = MAX_LAYER_BYTES) -> tuple[list, list, int, int]:
-    """Base spans, all spans (each (start, kind number, end), sorted), layers opened, layers too large."""
+    """Base spans, all spans (each (start, kind number, end), sorted), layers opened, layers read in pieces."""
     base = sorted(base_spans(text, has_hex))
-    if not has_base64 and "%" not in text and "\\" not in text and "&#" not in text:
+    if not has_base64 and "%" not in text and "\\" not in text and "&" not in text:
         return base, base, 1, 0
     found, first = set(base), Layer(text)
     work, seen, over, layers = deque([first]), set(), 0, 0
-    while work:
-        layer = work.popleft()
+
+    def visit(layer: Layer) -> None:
+        nonlocal over, layers
         layers += 1
         if layer is not first:
             for s, k, e in base_spans(layer.text):
                 a, b = layer.span(s, e)
                 found.add((a, k, b))
-        children, too_large = _base64(layer, limit) if layer is not first or has_base64 else ([], 0)
-        over += too_large
-        for unwrap, sign in ((_percent, "%"), (_escapes, "\\"), (_escapes, "&#")):
-            if sign in layer.text and (sign != "&#" or "\\" not in layer.text) and (child := unwrap(layer)) is not None:
+        children, large = _packed(layer, limit, layer is not first or has_base64)
+        for unwrap, signs in ((_percent, "%"), (_escapes, "\\&"), (_octal, "\\")):
+            if any(sign in layer.text for sign in signs) and (child := unwrap(layer)) is not None:
                 children.append(child)
         for child in children:
             if (key := child.key()) not in seen:
                 seen.add(key)
                 work.append(child)
+        for data, span in large:
+            if (key := (hashlib.sha1(data).digest(), span)) not in seen:
+                seen.add(key)
+                over += 1
+                for piece in pieces(data, limit):  # one at a time: only what they hold waits
+                    for some in _texts(piece):
+                        visit(Layer(some, span))
+
+    while work:
+        visit(work.popleft())
     return base, sorted(found), layers, over
 
 
@@ -323,7 +425,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: doc_id; n_assign, n_access, n_hex (base matches);
     base_sha256 (of the base spans as kind:start:end by start, then kind,
     comma-joined); spans (base and decoded, joined alike); n_layers opened;
-    n_oversize, compressed layers of more than ``limit`` bytes that were not opened.
+    n_oversize, compressed layers of more than ``limit`` bytes, read in pieces.
 
     Positions are code points, ends exclusive. A null text is the empty text.
     No shuffle; memory is bounded by the longest text and ``limit``. Empty input: no rows.

@@ -132,3 +132,58 @@ def test_wrapped_base64_is_one_layer():
                         text = before + sep.join(run[i:i + width] for i in range(0, len(run), width)) + " end"
                         hit = [s for s in sec.scan(text)[1] if s[1] == 0]
                         assert any(s[0] == len(before) and len(text) - 6 <= s[2] <= len(text) - 4 for s in hit), (pack, width, sep, before)
+
+
+def test_percent_runs_of_compressed_bytes():
+    for pack in (gzip.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress):
+        run = urllib.parse.quote_from_bytes(pack(f"some text, {SECRET} and more".encode()))
+        hit = [s for s in sec.scan(f"GET /?data={run} HTTP")[1] if s[1] == 0]
+        assert any(11 <= s[0] < s[2] <= 11 + len(run) and s[2] - s[0] > 20 for s in hit), pack
+
+
+def test_base64_at_any_offset():
+    run = base64.b64encode(f"padding {SECRET} padding".encode()).decode().rstrip("=")
+    for before in ("x", "xy", "xyz", "wxyz"):
+        text = f"see {before}{run} end"
+        assert any(s[1] == 0 and s[0] == 4 for s in sec.scan(text)[1]), before
+
+
+def test_named_references_and_octal_escapes():
+    text = "aa password&equals;&quot;abcdefghijkl&quot; zz"
+    assert (3, 0, text.index("&quot; zz")) in sec.scan(text)[1]
+    text = "aa " + "".join(f"\\{ord(c):03o}" for c in "password=abcdefghijkl") + " zz"
+    assert (3, 0, len(text) - 3) in sec.scan(text)[1]
+    assert sec.scan("&nosuchname; & &amp \\777 \\08")[1] == []
+
+
+def test_archives_that_unpack_into_each_other(monkeypatch):
+    """Data whose unpacked form unpacks into them again: the search ends."""
+    other = {b"one" * 10: b"two" * 10, b"two" * 10: b"one" * 10}
+    monkeypatch.setattr(sec, "unpack", lambda data, limit: other.get(data))
+    monkeypatch.setattr(sec, "_as_text", lambda data: None)
+    assert sec._open(b"one" * 10, 1000)[1] is None
+    assert sec.scan(base64.b64encode(b"one" * 10).decode())[2] < 20
+
+
+def test_large_layers_are_read_in_pieces():
+    plain = (b"filler " * 300 + SECRET.encode() + b" ") * 40 + b"x" * 5000 + b" " + SECRET.encode()
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress):
+        text = f"see {base64.b64encode(pack(plain)).decode()} end"
+        base, spans, _, over = sec.scan(text, limit=2000)
+        assert over == 1 and any(s[1] == 0 for s in spans), pack
+        joined, end = b"", 0
+        for piece in sec.pieces(pack(plain), 2000):
+            assert piece in plain
+            at = plain.index(piece, max(0, end - len(piece)))
+            assert at <= end
+            end = max(end, at + len(piece))
+        assert end == len(plain)
+    late = b"filler " * 60_000 + SECRET.encode()  # only the last piece holds it
+    assert any(s[1] == 0 for s in sec.scan(base64.b64encode(gzip.compress(late)).decode(), limit=50_000)[1])
+
+
+def test_a_long_word_beside_a_percent_sign_is_read_once():
+    import time
+    start = time.time()
+    sec.scan("100% " + "ab" * 200_000 + " %41")
+    assert time.time() - start < 20
