@@ -105,6 +105,7 @@ class Neighbours:
             self.matches.append((b[2], b[3] - left, b[3] + right, a[4]))
 
 
+SEEDS_SQL = "text_key long, pos long, seed long, doc_id long, n_words long, alt long"
 FOUND = pa.schema([("text_key", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("other_id", pa.int64()), ("window", pa.int64())])
 FOUND_SQL = "text_key long, first long, last long, other_id long, window long"
 
@@ -205,6 +206,11 @@ def _compare(batches, run_rows: int):
     yield from flush()
 
 
+def _text_key(text: str):
+    """The first 64 of the 128 bits that a text is known by."""
+    return F.xxhash64(text)
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document and passage: doc_id, first_word, end_word (exclusive), n_words, other_id.
 
@@ -218,7 +224,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Empty input: no rows.
     """
     rows = (only(docs, id_col, text_col).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-            .withColumn("text_key", F.xxhash64("text")))
+            .withColumn("text_key", _text_key("text")).withColumn("alt", F.xxhash64(F.lit(1), "text")))
 
     def seeds(batches):
         for b in batches:
@@ -234,13 +240,21 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                     n_words.append(len(words))
                 size = [len(p) for p in at]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys + [np.empty(0, np.int64)])), pa.array(np.concatenate(at + [np.empty(0, np.int64)])),
-                                                  pa.array(np.concatenate(gram + [np.empty(0, np.int64)])), pa.nulls(sum(size), pa.int64()), pa.nulls(sum(size), pa.int64())],
-                                                 names=["text_key", "pos", "seed", "doc_id", "n_words"])
+                                                  pa.array(np.concatenate(gram + [np.empty(0, np.int64)])), *[pa.nulls(sum(size), pa.int64())] * 3],
+                                                 names=["text_key", "pos", "seed", "doc_id", "n_words", "alt"])
                 # beside the seeds one row per document: seed null
-                yield pa.RecordBatch.from_arrays([part.column(1), pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.int64()), part.column(0), pa.array(n_words, pa.int64())],
-                                                 names=["text_key", "pos", "seed", "doc_id", "n_words"])
-
-    pass1 = materialised(rows.select("doc_id", "text_key", "text").mapInArrow(seeds, "text_key long, pos long, seed long, doc_id long, n_words long"), "passages-seeds", "zstd")
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.int64()), part.column(0), pa.array(n_words, pa.int64()), part.column(3)],
+                                                 names=["text_key", "pos", "seed", "doc_id", "n_words", "alt"])
+
+    seeded = lambda some: materialised(some.select("doc_id", "text_key", "text", "alt").mapInArrow(seeds, SEEDS_SQL), "passages-seeds", "zstd")
+    pass1 = seeded(rows)
+    # a text is known by 128 bits: those that share the first 64 only (about n^2 / 2^65 of n texts, so few that they are broadcast) get another key
+    clash = (pass1.where("seed is null").groupBy("text_key").agg(F.min("alt").alias("lo"), F.max("alt").alias("hi")).where("lo <> hi").select("text_key"))
+    clash = materialised(clash, "passages-clash")
+    if not clash.isEmpty():
+        again = rows.join(F.broadcast(clash), "text_key", "left_semi").withColumn("text_key", F.xxhash64(F.lit(2), "text"))
+        rows = rows.join(F.broadcast(clash), "text_key", "left_anti").unionByName(again)
+        pass1 = pass1.join(F.broadcast(clash), "text_key", "left_anti").unionByName(seeded(again))
     members = pass1.where("seed is null").select("doc_id", "text_key", "n_words")
     texts = members.groupBy("text_key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count(F.lit(1)).alias("n"), F.min("n_words").alias("n_words"),
                                             F.min(F.struct("doc_id")).alias("rep"))

@@ -128,3 +128,13 @@ def test_query(spark):
     docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text").collect()
     want, got = brute([(r.doc_id, r.text) for r in docs]), found(QUERIES["op4_sparse_suffixes"](spark, SF_CHECK))
     assert got == want
+
+
+def test_texts_with_one_key_stay_apart(spark, monkeypatch):
+    """A first key of few values: texts that share it are told apart by the second one."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(ps, "_text_key", lambda text: F.pmod(F.xxhash64(text), F.lit(40)))
+    rows = planted(21, n=150)
+    rows += [(1000 + i, t) for i, t in rows[:30]]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert found(ps.repeated_passages(df)) == brute(rows)
