@@ -37,6 +37,20 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
 
 
+def one_of_each(keyed: DataFrame, decided: DataFrame, on: Column) -> DataFrame:
+    """Rows of ``keyed`` (with a struct column ``row``) that stay after ``decided``
+    (a column ``keep_as``, one row per key of ``on``; null: the key's rows go;
+    otherwise: of all rows with that value the smallest in column order stays).
+    Keys that are not in ``decided`` stay as they are. The second pass over the
+    rows is made only where something repeats; it is a partial aggregate, so a
+    row repeated any number of times costs one row per task."""
+    rest = keyed.join(decided, on, "left_anti").select("row.*")
+    repeated = decided.where("keep_as is not null")
+    if repeated.isEmpty():
+        return rest
+    return rest.unionAll(keyed.join(repeated, on).groupBy("keep_as").agg(F.min("row").alias("row")).select("row.*"))
+
+
 def crc_mod(id_col: Column, n: int) -> Column:
     """crc32 of the id written as text, modulo n (null ids count as the empty text)."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % n

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, only, text_or_empty
+from .common import SPACE, materialised, one_of_each, only, text_or_empty
 
 BUDGET_BYTES = 96 << 20
 FAN_OUT_BITS = 4
@@ -179,10 +179,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The input's rows that :func:`exact_dedup` keeps, with all their columns."""
-    dropped = (exact_dedup(docs, id_col, text_col).where("not kept")
-               .select(F.col("doc_id").alias("_dropped_id"), F.col("text_sha256").alias("_dropped_sha")).distinct())
+    """One row of each group of equal texts, with all its columns: the row that
+    carries keep_id. Where several rows do (an id loaded twice, or no row of
+    the group has an id), the smallest of them in column order stays."""
+    found = materialised(exact_dedup(docs, id_col, text_col).select("doc_id", "kept", "text_sha256"), "dedup-rows")
+    once = found.groupBy("text_sha256").agg(F.count_if("kept").alias("n"))
+    many = found.where("kept").join(once.where("n > 1"), "text_sha256")
+    key = [F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")]
+    decided = materialised(found.where("not kept").select(*key, F.lit(None).cast("string").alias("keep_as"))
+                           .unionAll(many.select(*key, F.col("text_sha256").alias("keep_as"))).distinct(), "dedup-decided")
     sha = F.sha2(F.regexp_replace(text_or_empty(text_col), SPACE, " ").cast("binary"), 256)
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), sha.alias("sha"))
-    return (keyed.join(dropped, (F.col("sha") == F.col("_dropped_sha")) & F.col("id").eqNullSafe(F.col("_dropped_id")), "left_anti")
-            .select("row.*"))
+    return one_of_each(keyed, decided, (F.col("sha") == F.col("_sha")) & F.col("id").eqNullSafe(F.col("_id")))

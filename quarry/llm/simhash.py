@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialised, only, text_or_empty
+from .common import materialised, one_of_each, only, text_or_empty
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -215,7 +215,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     other. Rows without an id take part; component_id is null only where no row
     of the component has an id. Empty input: no rows.
     """
-    return groups_of(materialised(fingerprints(docs, id_col, text_col, shingle), "simhash-fp"), max_bits).drop("row_key")
+    return groups_of(materialised(fingerprints(docs, id_col, text_col, shingle), "simhash-fp"), max_bits).drop("row_key", "root")
 
 
 def groups_of(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -224,16 +224,21 @@ def groups_of(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     roots = components(links(distinct, max_bits), "simhash-links")
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = rooted.join(named, "root").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select("doc_id", "row_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    by_fp = rooted.join(named, "root").select("fp", "component_id", "root")
+    return rows.join(by_fp, "fp").select("doc_id", "row_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The input's rows whose id names their group (one document of each
-    group), with all their columns; rows of a group without any id all stay."""
+    """One row of each group, with all its columns: the row whose id names the
+    group. Where several rows do (an id loaded twice, or no row of the group
+    has an id), the smallest of them in column order stays."""
     rows = materialised(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
-    out = (groups_of(rows, max_bits).where("not (doc_id <=> component_id)")
-           .select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key")).distinct())
+    found = materialised(groups_of(rows, max_bits).select("doc_id", "row_key", "root", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")), "simhash-rows")
+    once = found.groupBy("root").agg(F.count_if("kept").alias("n"))
+    many = found.where("kept").join(once.where("n > 1"), "root")
+    key = [F.col("doc_id").alias("_id"), F.col("row_key").alias("_key")]
+    decided = materialised(found.where("not kept").select(*key, F.lit(None).cast("long").alias("keep_as"))
+                           .unionAll(many.select(*key, F.col("root").alias("keep_as"))).distinct(), "simhash-decided")
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"),
                         F.xxhash64(text_or_empty(text_col)).alias("key"))
-    return keyed.join(out, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left_anti").select("row.*")
+    return one_of_each(keyed, decided, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")))

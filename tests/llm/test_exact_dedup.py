@@ -29,10 +29,21 @@ def test_awkward_rows(spark):
     assert sorted(map(tuple, got.collect()), key=str) == brute([(r[0], r[1]) for r in awkward.rows()])
     kept = ed.keep_first(df)
     assert kept.columns == df.columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [-3, 1, 2, 3, 5, 6, 8, 8, 9, 10, 11, 2 ** 62]
+    # one row of each group: the repeated row 8 once, the row without an id as it is the only one of its text
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [-3, 1, 2, 3, 5, 6, 8, 9, 10, 11, 2 ** 62]
+    assert [r.text for r in kept.where("doc_id is null").collect()] == ["a row without an id"]
     assert ed.exact_dedup(awkward.empty(spark)).count() == 0 and ed.keep_first(awkward.empty(spark)).count() == 0
 
 
+def test_one_row_of_each_group(spark):
+    """Ids loaded twice, other columns that differ, groups without ids: one row each, the same one on every run."""
+    rows = [(1, "a b", "x"), (1, "a  b", "w"), (1, "a b", "x"), (2, "a b", "a"), (None, "c", "z"), (None, "c", "y"), (None, "a b", "0"), (3, "d", None), (3, "e", "q")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, other string")
+    want = [(1, "a  b", "w"), (3, "d", None), (3, "e", "q"), (None, "c", "y")]
+    for parts in (1, 4):
+        assert sorted(map(tuple, ed.keep_first(df.repartition(parts)).collect()), key=str) == want
+
+
 def test_recursive_spill_gives_the_same_classes():
     rng = random.Random(5)
     rows = []

@@ -47,10 +47,22 @@ def test_awkward_rows(spark):
     want = brute_components([(r[0], brute_fp(r[1])) for r in awkward.rows()])
     assert sorted(map(tuple, got.collect()), key=str) == want
     kept = sh.keep_one(awkward.frame(spark))
-    assert kept.columns == awkward.frame(spark).columns and kept.count() < len(awkward.rows())
+    assert kept.columns == awkward.frame(spark).columns
+    texts = {r[1] or "" for r in awkward.rows()}
+    groups = brute_components([(i, brute_fp(t)) for i, t in enumerate(sorted(texts))])
+    assert kept.count() == len({g[2] for g in groups})  # one row of each group, repeats and rows without ids too
     assert sh.simhash_groups(awkward.empty(spark)).count() == 0 and sh.keep_one(awkward.empty(spark)).count() == 0
 
 
+def test_one_row_of_each_group(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text, "x"), (1, text, "w"), (2, text, "a"), (None, text, "0"), (None, "alone without any id", "z"), (None, "alone without any id", "y"), (3, "else where we stand", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, other string")
+    want = [(1, text, "w"), (3, "else where we stand", None), (None, "alone without any id", "y")]
+    for parts in (1, 4):
+        assert sorted(map(tuple, sh.keep_one(df.repartition(parts)).collect()), key=str) == want
+
+
 @pytest.mark.parametrize("seed,bits", [(1, 3), (2, 3), (3, 1), (4, 0)])
 def test_index_finds_every_pair(seed, bits):
     rng = random.Random(seed)
