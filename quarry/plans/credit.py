@@ -20,7 +20,7 @@ from ..ml import models as mo
 from ..operators import aggregates as agg
 from ..operators import filters as flt
 from ..operators import joins as jn
-from ..operators import sets
+from ..operators import layout, sets
 from ..sources import files, typed
 
 # The code lookups of the credit job, as the single-quoted JSON
@@ -35,6 +35,7 @@ MARRIAGE_JSON = ["{'marriageName': 'Single', 'marriageId': '1.0'}",
 # lookup's Female code, so rows coded F are not lost in the inner join).
 SKIP_PREFIXES = ("CUSTID", "aaaaa")
 SEX_CODES = {"M": 1.0, "F": 2.0}
+# Positions of the raw record's fields, and the columns that the models are built from.
 PAY_DELAY, BILL, PAID = range(6, 12), range(12, 18), range(18, 24)
 RAW_FIELDS = {"CustId": 0, "LimitBal": 1, "Education": 3, "Marriage": 4, "AgeRaw": 5, "Defaulted": 24}
 CLASSIFIER_FEATURES = ("Sex", "Education", "Marriage", "Age", "AvgPayDur", "AvgBillAmt", "AvgPayAmt", "PerPaid")
@@ -166,9 +167,11 @@ class CreditJob:
 
 
 def run(spark: SparkSession, lines: DataFrame, how: str = "inner") -> CreditJob:
-    """Build the whole job lazily (models are fitted by the caller's choice of
-    ``compare_classifiers`` / ``clusters``)."""
-    parsed = parse_lines(lines)
+    """Parse the raw text once (K1: the parsed rows are written and read again
+    by every report, so the text is neither read nor parsed anew per report);
+    the rest is lazy, and models are fitted by the caller's choice of
+    ``compare_classifiers`` / ``clusters``."""
+    parsed = layout.written(parse_lines(lines), "credit")
     credit = derive(parsed)
     enriched = enrich(spark, credit, how)
     return CreditJob(rejects=typed.reject_rows(parsed), credit=credit, enriched=enriched,

@@ -85,6 +85,7 @@ def cluster(df: DataFrame, cols: Sequence[str], k: int = 4, seed: int = 1) -> di
 
 # --- fuel use: linear regression -----------------------------------------------
 
+# The columns of the studied regression.
 FUEL_FEATURES = ("CYLINDERS", "HP", "ACCELERATION", "MODELYEAR")
 
 
@@ -112,6 +113,7 @@ def fuel_regression(fuel: DataFrame, seed: int = 42, train_fraction: float = 0.9
 
 # --- iris: decision tree ---------------------------------------------------------
 
+# The columns of the studied tree.
 IRIS_FEATURES = ("SEPAL_LENGTH", "SEPAL_WIDTH", "PETAL_LENGTH", "PETAL_WIDTH")
 
 
@@ -137,6 +139,7 @@ def iris_tree(iris: DataFrame, max_depth: int = 2, seed: int = 42, key: Sequence
 
 # --- bank: indicators, PCA, random forest ----------------------------------------
 
+# The columns of the studied forest.
 BANK_FEATURES = ("AGE", "SINGLE", "MARRIED", "DIVORCED", "PRIMARY", "SECONDARY", "TERTIARY",
                  "DEFAULT", "BALANCE", "LOAN")
 
