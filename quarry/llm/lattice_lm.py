@@ -6,15 +6,20 @@ product of the pieces' probabilities, by the forward recursion in log space; a
 text's probability is the product over its words and the end. Pieces never hold
 a space mark inside, so a word's lattice is independent of its neighbours.
 
-The vocabulary file's scores give the pieces' first weights (they rank the
-pieces; the weight falls with the rank). One expectation step over the lattices
-of all distinct training words turns them into probabilities.
+The vocabulary file's scores weight the pieces: in a merge-type vocabulary the
+score is the merge's rank, and a piece's weight falls with a power of it. One
+expectation step over the lattices of all distinct training words gives the
+expected use of every piece. From these the power is fitted by likelihood, and
+the piece's probability is SCORE_SHARE of what its score says and for the rest its share
+of the expected uses. So the file's scores weight every segmentation at
+every size of the corpus, and a piece that the corpus doesn't use keeps what its score gives.
 
 Word counts come from the whole training part. Documents are handled in blocks
 of bounded size: a block asks for the words it holds (one row per word and
 block), counts and probabilities are joined to these rows by word, and the
-answered rows meet the block's documents again. Nothing grows on the driver
-but the probabilities of the vocabulary's pieces.
+answered rows meet the block's documents again, in as many tasks as there are
+blocks, so what a task reads doesn't grow with the input. Only the probabilities of the
+vocabulary's pieces pass the driver.
 """
 
 from __future__ import annotations
@@ -35,7 +40,7 @@ from .pieces import MARK, Vocabulary, vocabulary
 
 BLOCK_BYTES = 48 << 20   # text of a block
 LONG_WORD = 40           # longer words take the loop instead of the matrix
-SMOOTHING = 0.1          # added to every piece's expected count
+SCORE_SHARE = 0.1        # of a piece's probability that its score alone decides
 UNIT = 1e-6              # expected counts are sums of multiples of this, so their order doesn't matter
 END = b""                # the end token among the words
 _BASE = np.uint64(0x100000001B3)  # fixed value: the 64-bit FNV prime, as the base of the substring hashes
@@ -56,13 +61,18 @@ class Lattice:
             ids.append(i)
         self.table = KeyTable(np.array(keys, dtype=np.uint64), np.array(ids))
 
-    def first_weights(self, voc: Vocabulary) -> np.ndarray:
-        """Log weights from the file's scores: falling with the rank of the score, byte pieces and the end like the last rank."""
-        last = max(voc.rank.values(), default=0) + 2
-        w = np.full(self.size + 1, 1.0 / last)
+    def depth(self, voc: Vocabulary) -> np.ndarray:
+        """Log of 2 plus the rank of each piece's score; pieces without one (bytes, the end token) stand behind the last."""
+        rank = np.full(self.size + 1, max(voc.rank.values(), default=0) + 1.0)
         for i, r in voc.rank.items():
-            w[i] = 1.0 / (r + 2)
-        return np.log(w / w.sum())
+            rank[i] = r
+        return np.log(rank + 2)
+
+    @staticmethod
+    def score_weights(depth: np.ndarray, power: float = 1.0) -> np.ndarray:
+        """Log weights that the file's scores give."""
+        w = -power * depth
+        return w - w.max() - math.log(np.exp(w - w.max()).sum())
 
     def char_bytes(self, code: int) -> list[int]:
         return [self.byte_id[b] for b in chr(code).encode("utf-8", "surrogatepass")]
@@ -245,9 +255,19 @@ def asked_words(blocked: DataFrame) -> DataFrame:
     return blocked.select("text", "held_out", "block").mapInArrow(run, "block long, word binary, n long")
 
 
+def fitted_power(uses: np.ndarray, depth: np.ndarray) -> float:
+    """The power under which the scores' weights make the uses likeliest (their mean depth is then the weights' mean depth)."""
+    want, lo, hi = float(uses @ depth / uses.sum()), 0.0, 8.0
+    for _ in range(50):  # the weights' mean depth falls with the power
+        power = (lo + hi) / 2
+        lo, hi = (power, hi) if float(np.exp(Lattice.score_weights(depth, power)) @ depth) > want else (lo, power)
+    return (lo + hi) / 2
+
+
 def piece_probabilities(counted: DataFrame, path: str) -> np.ndarray:
     """Log probabilities of the pieces and the end token from (word, c)."""
-    first = lattice(path).first_weights(vocabulary(path))
+    depth = lattice(path).depth(vocabulary(path))
+    first = Lattice.score_weights(depth)
 
     def run(batches):
         lat, total = lattice(path), np.zeros(len(first))
@@ -264,10 +284,13 @@ def piece_probabilities(counted: DataFrame, path: str) -> np.ndarray:
 
     # one row per piece of the vocabulary
     uses = counted.mapInArrow(run, "piece long, uses double").groupBy("piece").agg(F.sum(F.col("uses").cast("decimal(38,0)")).alias("uses")).collect()
-    total = np.full(len(first), SMOOTHING)
+    total = np.zeros(len(first))
     for r in uses:
-        total[r.piece] += float(r.uses) * UNIT
-    return np.log(total / total.sum())
+        total[r.piece] = float(r.uses) * UNIT
+    if not total.any():
+        return first
+    by_score = np.exp(Lattice.score_weights(depth, fitted_power(total, depth)))
+    return np.log(SCORE_SHARE * by_score + (1 - SCORE_SHARE) * total / total.sum())
 
 
 def lm_scores(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", held_out_mod: int = 7, held_out_rest: int = 2,
@@ -278,10 +301,11 @@ def lm_scores(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     that are not held out (crc32 of the id as text, modulo). base_score is the
     add-one unigram log10 probability of the tokens; score the log10
     probability of the text under the lattice model. A null text is empty: one
-    end token. Without training rows counts are 0 and all pieces equally likely. Empty
+    end token. Without training rows counts are 0 and pieces weigh what their scores give. Empty
     input: no rows.
     """
     blocked = materialised(in_blocks(docs, id_col, text_col, held_out_mod, held_out_rest, block_bytes), "lm-blocks", "zstd")
+    tasks = max(1, blocked.agg(F.count_distinct("block")).first()[0])
     by_word = Window.partitionBy("word")
     answers = materialised(asked_words(blocked).select("block", "word", F.sum("n").over(by_word).alias("c"),
                                                        (F.row_number().over(by_word.orderBy("block")) == 1).alias("first")), "lm-words", "zstd")
@@ -319,6 +343,6 @@ def lm_scores(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         return pa.table({"doc_id": left["doc_id"], "held_out": left["held_out"], "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(known, pa.int64()),
                          "train_tokens": pa.array([train_tokens] * len(n), pa.int64()), "base_score": pa.array(b_score, pa.float64()), "score": pa.array(s, pa.float64())})
 
-    scored = scored.select(F.col("block").alias("w_block"), "word", "c", "logp")
-    return blocked.groupBy("block").cogroup(scored.groupBy("w_block")).applyInArrow(
+    scored = scored.select(F.col("block").alias("w_block"), "word", "c", "logp").repartition(tasks, "w_block")
+    return blocked.repartition(tasks, "block").groupBy("block").cogroup(scored.groupBy("w_block")).applyInArrow(
         finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -22,7 +22,7 @@ def lat():
 
 @pytest.fixture(scope="module")
 def weights(lat):
-    return lat.first_weights(vocabulary(VOCABULARY))
+    return lat.score_weights(lat.depth(vocabulary(VOCABULARY)))
 
 
 def segmentations(lat, text):
@@ -101,3 +101,70 @@ def test_query(spark):
     out = [r for r in rows if r.held_out]
     # unseen words cost the word model dearly; pieces know them
     assert sum(r.score for r in out) / sum(r.n_tokens for r in out) > -8
+
+
+def test_the_power_of_the_scores_is_found_again(lat):
+    depth = lat.depth(vocabulary(VOCABULARY))
+    for power in (0.3, 1.0, 1.7):
+        assert lm.fitted_power(1e6 * np.exp(lat.score_weights(depth, power)), depth) == pytest.approx(power, abs=1e-6)
+
+
+def plain_score(rows):
+    """The whole model once more, word by word in plain loops: log10 probability of each row's text."""
+    voc = vocabulary(VOCABULARY)
+    last = max(voc.rank.values()) + 1
+    prob = lambda power: [(voc.rank.get(i, last) + 2) ** -power for i in range(voc.size + 1)]
+    longest = max(map(len, voc.normal))
+
+    def ways(text):
+        for end in range(1, len(text) + 1):
+            for start in range(max(0, end - longest), end):
+                if text[start:end] in voc.normal:
+                    yield start, end, [voc.normal[text[start:end]]]
+                elif end - start == 1:
+                    yield start, end, [voc.byte_id[b] for b in text[start:end].encode("utf-8", "surrogatepass")]
+
+    def both(text, p):
+        a, b, every = [1.0] + [0.0] * len(text), [0.0] * len(text) + [1.0], [(s, e, ids, math.prod(p[i] for i in ids)) for s, e, ids in ways(text)]
+        for s, e, _, w in every:
+            a[e] += a[s] * w
+        for s, e, _, w in sorted(every, key=lambda x: -x[1]):
+            b[s] += w * b[e]
+        return a, b, every
+
+    tokens = {k: [w.decode("utf-8", "surrogatepass") for w in lm.words_of(t or "")] for k, (_, t) in enumerate(rows)}
+    train = [k for k, (i, _) in enumerate(rows) if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
+    counts = Counter(w for k in train for w in tokens[k])
+    norm = lambda x: [v / sum(x) for v in x]
+    p, uses = norm(prob(1.0)), [0.0] * (voc.size + 1)
+    uses[-1] = float(len(train))
+    for w, c in counts.items():
+        a, b, every = both("▁" + w, p)
+        for s, e, ids, weight in every:
+            for i in ids:
+                uses[i] += c * a[s] * weight * b[e] / a[-1]
+    # the likeliest power on a fine grid
+    depth = [math.log(voc.rank.get(i, last) + 2) for i in range(voc.size + 1)]
+    fit = lambda power: -power * sum(u * d for u, d in zip(uses, depth)) - sum(uses) * math.log(sum(prob(power)))
+    power = max((k / 10 for k in range(1, 40)), key=fit)
+    for step in (0.01, 0.001, 0.0001):
+        power = max((power + k * step for k in range(-10, 11)), key=fit)
+    p = [lm.SCORE_SHARE * x + (1 - lm.SCORE_SHARE) * y for x, y in zip(norm(prob(power)), norm(uses))]
+    value = {w: math.log10(both("▁" + w, p)[0][-1]) for w in {w for some in tokens.values() for w in some}}
+    return [sum(value[w] for w in tokens[k]) + math.log10(p[-1]) for k in tokens]
+
+
+def test_scores_of_a_table_equal_the_plain_model(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_CHECK}/documents.parquet").orderBy("doc_id").select("doc_id", "text").take(40)]
+    rows += [(10**6, "naïve Ω😀 x\x00y"), (10**6 + 1, None)]
+    got = {r.doc_id: r.score for r in lm.lm_scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), VOCABULARY, block_bytes=20_000).collect()}
+    assert len(got) == len(rows)
+    for (i, _), want in zip(rows, plain_score(rows)):
+        assert got[i] == pytest.approx(want, rel=1e-4), i
+
+
+def test_without_training_rows_the_scores_of_the_file_weight_the_pieces(spark, lat, weights):
+    out = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2][:3]
+    for r in lm.lm_scores(spark.createDataFrame([(i, "the end") for i in out], "doc_id long, text string"), VOCABULARY).collect():
+        assert r.held_out and r.n_known == 0 and r.train_tokens == 0
+        assert r.score == pytest.approx((lat.log_probability(["the", "end"], weights).sum() + weights[-1]) / math.log(10))
