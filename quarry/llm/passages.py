@@ -13,7 +13,7 @@ overlapping matches of several seeds and are merged.
 
 Where a seed has more texts than a suffix has neighbours, a text's only partner
 may stand farther away in the order. There the windows of MIN_WORDS words that
-hold the seed are compared by a 64-bit hash, all with all; runs of a seed that
+hold the seed are compared by a 128-bit hash, all with all; runs of a seed that
 lie in several tasks hand their windows to a grouping by that hash. So every
 repeated window of MIN_WORDS words is found.
 
@@ -40,6 +40,7 @@ NEAR = 4          # texts before a suffix that it is compared with
 RUN = 20_000      # rows of one seed whose windows are compared together
 HELD = 5_000      # rows after which windows are compared, at least
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # fixed value: 2**64 over the golden ratio, odd
+_BASE_2 = np.uint64(0xC2B2AE3D27D4EB4F)  # fixed value: an odd multiplier of XXH64, for the second half of a window's hash
 
 
 def split_words(text: str) -> list[bytes]:
@@ -106,40 +107,45 @@ class Neighbours:
 
 
 SEEDS_SQL = "text_key long, pos long, seed long, doc_id long, n_words long, alt long"
-FOUND = pa.schema([("text_key", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("other_id", pa.int64()), ("window", pa.int64())])
-FOUND_SQL = "text_key long, first long, last long, other_id long, window long"
-
-
-def _windows(rows: list[list]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the MIN_WORDS-word windows that hold each row's seed, and which
-    of them the row's text has; column i begins WINDOW - 1 - i words before the seed."""
-    known = {w: xxhash.xxh3_64_intdigest(w) for w in {w for r in rows for side in r[:2] for w in side}}
-    words = np.zeros((len(rows), WINDOW + MIN_WORDS), dtype=np.uint64)
-    for i, (right, left, *_) in enumerate(rows):
-        words[i, WINDOW:WINDOW + len(right)] = np.fromiter(map(known.__getitem__, right), np.uint64, len(right))
-        words[i, WINDOW - len(left):WINDOW] = np.fromiter(map(known.__getitem__, reversed(left)), np.uint64, len(left))
-    out = np.zeros((len(rows), WINDOW), dtype=np.uint64)
-    for k in range(1, MIN_WORDS + 1):
-        out = out * _BASE + words[:, k:k + WINDOW]
+FOUND = pa.schema([("text_key", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("other_id", pa.int64()), ("window", pa.int64()), ("window_2", pa.int64())])
+FOUND_SQL = "text_key long, first long, last long, other_id long, window long, window_2 long"
+
+
+def _windows(rows: list[list]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Both halves of the hashes of the MIN_WORDS-word windows that hold each row's
+    seed, and which of them the row's text has; column i begins WINDOW - 1 - i words
+    before the seed. The halves come from independent halves of the words' 128-bit hashes."""
+    known = {w: divmod(xxhash.xxh3_128_intdigest(w), 1 << 64) for w in {w for r in rows for side in r[:2] for w in side}}
+    halves = []
+    for half, base in ((1, _BASE), (0, _BASE_2)):
+        one = {w: h[half] for w, h in known.items()}
+        words = np.zeros((len(rows), WINDOW + MIN_WORDS), dtype=np.uint64)
+        for i, (right, left, *_) in enumerate(rows):
+            words[i, WINDOW:WINDOW + len(right)] = np.fromiter(map(one.__getitem__, right), np.uint64, len(right))
+            words[i, WINDOW - len(left):WINDOW] = np.fromiter(map(one.__getitem__, reversed(left)), np.uint64, len(left))
+        out = np.zeros((len(rows), WINDOW), dtype=np.uint64)
+        for k in range(1, MIN_WORDS + 1):
+            out = out * base + words[:, k:k + WINDOW]
+        halves.append(out)
     before = np.arange(WINDOW - 1, -1, -1)
     there = (before <= np.array([len(r[1]) for r in rows])[:, None]) & (MIN_WORDS - before <= np.array([len(r[0]) for r in rows])[:, None])
-    return out, there
+    return *halves, there
 
 
 def _same_windows(rows: list[list], is_open: np.ndarray) -> tuple[list, list]:
     """Matches of windows that rows of different texts share: (text, start, end,
     id of another), one per stretch of consecutive windows. And the windows of
-    open rows as (text, start, end, id, window), for the rows of their seed in other
+    open rows as (text, start, end, id, both halves of the window's hash), for the rows of their seed in other
     runs: all those that no other text here has, and one of each that some has."""
-    hashes, there = _windows(rows)
+    low, high, there = _windows(rows)
     row, col = np.nonzero(there)
     if not len(row):
         return [], []
-    key, text = hashes[row, col], np.array([r[2] for r in rows])[row]
-    by = np.lexsort((text, key))
-    row, col, key, text = row[by], col[by], key[by], text[by]
-    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    group = np.cumsum(np.append(True, key[1:] != key[:-1])) - 1
+    key, key_2, text = low[row, col], high[row, col], np.array([r[2] for r in rows])[row]
+    by = np.lexsort((text, key_2, key))
+    row, col, key, key_2, text = row[by], col[by], key[by], key_2[by], text[by]
+    new = np.append(True, (key[1:] != key[:-1]) | (key_2[1:] != key_2[:-1]))
+    first, group = np.flatnonzero(new), np.cumsum(new) - 1
     last = np.append(first[1:], len(key)) - 1
     shared = (text[first] != text[last])[group]  # ordered by text within a window
     other = np.where(text == text[first][group], row[last][group], row[first][group])
@@ -155,8 +161,8 @@ def _same_windows(rows: list[list], is_open: np.ndarray) -> tuple[list, list]:
     one[at[np.unique(group[at], return_index=True)[1]]] = True
     told = is_open[row] & (~shared | one)
     start = np.array([r[3] for r in rows])[row] - (WINDOW - 1) + col
-    outside = [(t, a, a + MIN_WORDS, rows[i][4], w) for t, a, i, w in
-               zip(text[told].tolist(), start[told].tolist(), row[told].tolist(), key.view(np.int64)[told].tolist())]
+    outside = [(t, a, a + MIN_WORDS, rows[i][4], w, w_2) for t, a, i, w, w_2 in
+               zip(text[told].tolist(), start[told].tolist(), row[told].tolist(), key.view(np.int64)[told].tolist(), key_2.view(np.int64)[told].tolist())]
     return matches, outside
 
 
@@ -178,10 +184,10 @@ def _compare(batches, run_rows: int):
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*some), FOUND)], schema=FOUND)
 
     def flush():
-        rows = [(*m, None) for m in by_right.matches]
+        rows = [(*m, None, None) for m in by_right.matches]
         if held:
             matches, outside = _same_windows(held, np.array(held_open))
-            rows += [(*m, None) for m in matches] + outside
+            rows += [(*m, None, None) for m in matches] + outside
         yield from batch(list(dict.fromkeys(rows)))
         by_right.matches = []
         held.clear()
@@ -292,10 +298,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     found = materialised(suffix.repartitionByRange(tasks, *order).sortWithinPartitions(*order).mapInArrow(compare, FOUND_SQL), "passages-found", "zstd")
     matches = found.where("window is null").select("text_key", "first", "last", "other_id")
     # runs that lie in several tasks or parts meet by the hash of their windows
-    told = found.where("window is not null").select("window", "text_key", "first", "last", F.col("other_id").alias("doc_id"))
+    told = found.where("window is not null").select("window", "window_2", "text_key", "first", "last", F.col("other_id").alias("doc_id"))
     place = F.struct("text_key", "doc_id")
-    both = (told.groupBy("window").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a.text_key <> b.text_key"))
-    far = told.join(both, "window").select("text_key", "first", "last", F.when(F.col("text_key") == F.col("a.text_key"), F.col("b.doc_id")).otherwise(F.col("a.doc_id")).alias("other_id"))
+    both = (told.groupBy("window", "window_2").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a.text_key <> b.text_key"))
+    far = told.join(both, ["window", "window_2"]).select("text_key", "first", "last", F.when(F.col("text_key") == F.col("a.text_key"), F.col("b.doc_id")).otherwise(F.col("a.doc_id")).alias("other_id"))
     matches = matches.union(far)
 
     # overlapping and touching matches of a text become one passage (a text's matches are bounded by its length)

@@ -111,6 +111,16 @@ def test_windows_of_parts_meet_by_hash():
     assert not any(m for m, _ in alone) and {o[4] for _, out in alone for o in out} == {o[4] for o in outside}
 
 
+def test_windows_of_one_first_hash_are_told_apart_by_the_second(monkeypatch):
+    words = lambda k, n: [f"w{k}_{i}" for i in range(n)]
+    rows = [[words("seed", ps.SEED) + words(k, 37) + ["end"], [], k, 0, k] for k in (1, 2)]
+    monkeypatch.setattr(ps, "_BASE", ps.np.uint64(0))  # the first half is the hash of a window's last word
+    low, high, there = ps._windows(rows)
+    assert low[there].tolist() == [low[there][0]] * 2 and len(set(high[there].tolist())) == 2
+    matches, outside = ps._same_windows(rows, ps.np.ones(2, dtype=bool))
+    assert matches == [] and len(outside) == 2
+
+
 def test_repeats_inside_one_text_do_not_count(spark):
     one = " ".join(f"w{i}" for i in range(70))
     rows = [(1, one + " mid " + one), (2, "other words " * 60)]
