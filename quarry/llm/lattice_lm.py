@@ -18,8 +18,8 @@ Word counts come from the whole training part. Documents are handled in blocks
 of bounded size: a block asks for the words it holds (one row per word and
 block), counts and probabilities are joined to these rows by word, and the
 answered rows meet the block's documents again, in as many tasks as there are
-blocks, so what a task reads doesn't grow with the input. Only the probabilities of the
-vocabulary's pieces pass the driver.
+blocks (dealt by hash, so a task may hold several; one block is in memory at a time). Only
+the probabilities of the vocabulary's pieces pass the driver.
 """
 
 from __future__ import annotations
