@@ -17,9 +17,10 @@ every size of the corpus, and a piece that the corpus doesn't use keeps what its
 Word counts come from the whole training part. Documents are handled in blocks
 of bounded size: a block asks for the words it holds (one row per word and
 block), counts and probabilities are joined to these rows by word, and the
-answered rows meet the block's documents again, in as many tasks as there are
-blocks (dealt by hash, so a task may hold several; one block is in memory at a time). Only
-the probabilities of the vocabulary's pieces pass the driver.
+answered rows meet the block's documents again, each block in a task of its own: the
+blocks are numbered without gaps and dealt by that number, so a task reads one block
+however large the input is. Only the probabilities of the vocabulary's pieces and the
+number of blocks of each scan task pass the driver.
 """
 
 from __future__ import annotations
@@ -225,6 +226,20 @@ def in_blocks(docs: DataFrame, id_col: str, text_col: str, mod: int, rest: int,
     return rows.mapInArrow(number, "doc_id long, text string, held_out boolean, block long")
 
 
+def numbered(blocked: DataFrame) -> tuple[DataFrame, int]:
+    """The rows with their blocks numbered 0, 1, ... without gaps, and the number of blocks."""
+    scan = F.shiftright("block", 24)
+    # one row per scan task of the input, on the driver as for zipWithIndex, and broadcast back
+    last = blocked.groupBy(scan.alias("scan")).agg(F.max(F.col("block").bitwiseAND((1 << 24) - 1)).alias("last")).orderBy("scan").collect()
+    first, total = [], 0
+    for r in last:
+        first.append((r.scan, total))
+        total += r["last"] + 1
+    offsets = F.broadcast(blocked.sparkSession.createDataFrame(first, "scan long, first long"))
+    number = (F.col("first") + F.col("block").bitwiseAND((1 << 24) - 1)).cast("int")
+    return blocked.join(offsets, scan == F.col("scan")).select("doc_id", "text", "held_out", number.alias("block")), total
+
+
 def asked_words(blocked: DataFrame) -> DataFrame:
     """block, word, n: the distinct words of each block (the end token too) and how often its training rows hold them."""
 
@@ -235,7 +250,7 @@ def asked_words(blocked: DataFrame) -> DataFrame:
             every = list(known)
             for lo in range(0, len(every), 50_000):
                 some = every[lo:lo + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), block)), pa.array(some, pa.binary()), pa.array([counts[w] for w in some], pa.int64())],
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), block, dtype=np.int32)), pa.array(some, pa.binary()), pa.array([counts[w] for w in some], pa.int64())],
                                                  names=["block", "word", "n"])
 
         for b in batches:
@@ -252,7 +267,7 @@ def asked_words(blocked: DataFrame) -> DataFrame:
         if block is not None:
             yield from answer()
 
-    return blocked.select("text", "held_out", "block").mapInArrow(run, "block long, word binary, n long")
+    return blocked.select("text", "held_out", "block").mapInArrow(run, "block int, word binary, n long")
 
 
 def fitted_power(uses: np.ndarray, depth: np.ndarray) -> float:
@@ -304,8 +319,8 @@ def lm_scores(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     end token. Without training rows counts are 0 and pieces weigh what their scores give. Empty
     input: no rows.
     """
-    blocked = materialised(in_blocks(docs, id_col, text_col, held_out_mod, held_out_rest, block_bytes), "lm-blocks", "zstd")
-    tasks = max(1, blocked.agg(F.count_distinct("block")).first()[0])
+    blocked, blocks = numbered(materialised(in_blocks(docs, id_col, text_col, held_out_mod, held_out_rest, block_bytes), "lm-blocks", "zstd"))
+    tasks = max(1, blocks)
     by_word = Window.partitionBy("word")
     answers = materialised(asked_words(blocked).select("block", "word", F.sum("n").over(by_word).alias("c"),
                                                        (F.row_number().over(by_word.orderBy("block")) == 1).alias("first")), "lm-words", "zstd")
@@ -328,7 +343,7 @@ def lm_scores(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 last = (words[-1], out[-1])
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(out)], names=["block", "word", "c", "logp"])
 
-    scored = answers.select("block", "word", "c").mapInArrow(score, "block long, word binary, c long, logp double")
+    scored = answers.select("block", "word", "c").mapInArrow(score, "block int, word binary, c long, logp double")
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         row = {w: i for i, w in enumerate(right["word"].to_pylist())}
@@ -343,6 +358,6 @@ def lm_scores(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         return pa.table({"doc_id": left["doc_id"], "held_out": left["held_out"], "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(known, pa.int64()),
                          "train_tokens": pa.array([train_tokens] * len(n), pa.int64()), "base_score": pa.array(b_score, pa.float64()), "score": pa.array(s, pa.float64())})
 
-    scored = scored.select(F.col("block").alias("w_block"), "word", "c", "logp").repartition(tasks, "w_block")
-    return blocked.repartition(tasks, "block").groupBy("block").cogroup(scored.groupBy("w_block")).applyInArrow(
+    scored = scored.select(F.col("block").alias("w_block"), "word", "c", "logp").repartitionById(tasks, "w_block")
+    return blocked.repartitionById(tasks, "block").groupBy("block").cogroup(scored.groupBy("w_block")).applyInArrow(
         finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

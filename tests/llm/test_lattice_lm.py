@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql.functions import spark_partition_id
 
 from quarry.llm import lattice_lm as lm
 from quarry.llm.pieces import vocabulary
@@ -168,3 +169,17 @@ def test_without_training_rows_the_scores_of_the_file_weight_the_pieces(spark, l
     for r in lm.lm_scores(spark.createDataFrame([(i, "the end") for i in out], "doc_id long, text string"), VOCABULARY).collect():
         assert r.held_out and r.n_known == 0 and r.train_tokens == 0
         assert r.score == pytest.approx((lat.log_probability(["the", "end"], weights).sum() + weights[-1]) / math.log(10))
+
+
+def test_every_block_has_a_task_of_its_own(spark):
+    docs = spark.range(300).selectExpr("id as doc_id", "repeat('a word ', cast(id % 40 as int)) as text").repartition(5)
+    blocked, blocks = lm.numbered(lm.in_blocks(docs, "doc_id", "text", 7, 2, 2_000).persist())
+    rows = blocked.collect()
+    assert len(rows) == 300 and blocks > 20 and {r.block for r in rows} == set(range(blocks))
+    per_task = blocked.repartitionById(blocks, "block").withColumn("task", spark_partition_id()).select("block", "task").distinct().collect()
+    assert len(per_task) == blocks == len({r.task for r in per_task})
+
+
+def test_scores_meet_their_texts_by_one_exchange_a_side(spark):
+    plan = lm.lm_scores(awkward.frame(spark), VOCABULARY)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("direct_shuffle_partition_id") == 2 and "hashpartitioning(block" not in plan
