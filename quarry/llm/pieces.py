@@ -7,7 +7,7 @@ behind another character, nor a character such as a line break, so merges
 never cross these places and the text falls into independent units. Units are
 encoded once per slice of text, in two forms of the same agenda: a matrix of
 pair scores for many short units of one length at once, and a heap for a long
-unit. Unit results are kept in a cache of bounded size per Python worker.
+unit. Unit results are kept in a cache per Python worker, bounded in units and in characters.
 
 Every unit is checked against the sentencepiece library where it enters the
 cache (``verify``); a difference fails the job.
@@ -32,6 +32,7 @@ MARK = "▁"  # fixed value: the library's space mark
 NO_RANK = np.iinfo(np.int32).max
 SHORT = 48
 CACHE_UNITS = 250_000
+CACHE_CHARS = 32_000_000  # of the cached units, their ids and their decoded text; the units of one slice come on top
 
 
 class Vocabulary:
@@ -224,22 +225,37 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-_UNITS: dict[str, dict] = {}
+class Units(dict):
+    """Results by unit, and the characters that units and results hold."""
+
+    chars = 0
+
+    def put(self, unit: str, ids: list[int], text: str) -> None:
+        written = ",".join(map(str, ids))
+        self[unit] = (len(ids), written, text)
+        self.chars += len(unit) + len(written) + len(text)
+
+    def clear(self) -> None:
+        super().clear()
+        self.chars = 0
+
+
+_UNITS: dict[str, Units] = {}
 
 
 def _encoded(voc: Vocabulary, path: str, texts: list[str], verify: bool) -> list[tuple[int, str, str]]:
     """Number of ids, ids as text, decoded text of each text; new units enter the cache together."""
-    cache = _UNITS.setdefault(path, {})
+    cache = _UNITS.setdefault(path, Units())
     split = [voc.split(t) for t in texts]
     new = list({u for units in split for u in units if u not in cache})
-    if len(cache) + len(new) > CACHE_UNITS:
+    if len(cache) + len(new) > CACHE_UNITS or cache.chars > CACHE_CHARS:
         cache.clear()
         new = list({u for units in split for u in units})
     ids = voc.encode_units(new)
     if verify:
         voc.check(new, ids)
     for u, i in zip(new, ids):
-        cache[u] = (len(i), ",".join(map(str, i)), voc.unit_text(i))
+        cache.put(u, i, voc.unit_text(i))
     out = []
     for units in split:
         if not units:

@@ -68,3 +68,17 @@ def test_query_like_the_library(spark):
     docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text").collect()
     got = QUERIES["op10_sentencepiece"](spark, SF_CHECK)
     assert sorted(map(tuple, got.collect())) == sorted(digest(r.doc_id, r.text) for r in docs)
+
+
+def test_cache_is_bounded_in_characters(voc, monkeypatch):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ABCdef0123+/日") for _ in range(rng.randint(1, 3000))) for _ in range(60)]
+    whole = [pieces._encoded(voc, "whole", [t], True)[0] for t in texts]
+    monkeypatch.setattr(pieces, "CACHE_CHARS", 20_000)
+    held = []
+    for t, want in zip(texts, whole):
+        assert pieces._encoded(voc, "bounded", [t], True)[0] == want
+        held.append(pieces._UNITS["bounded"].chars)
+    most = max(len(t) + len(ids) + len(text) for t, (_, ids, text) in zip(texts, whole)) + 10
+    assert max(held) <= 20_000 + most and pieces._UNITS["whole"].chars > 3 * max(held)
+    assert pieces._UNITS["bounded"].chars == sum(len(u) + len(i) + len(t) for u, (_, i, t) in pieces._UNITS["bounded"].items())
