@@ -159,6 +159,24 @@ def pca(df: DataFrame, input_col: str, k: int, output: str = "pca"):
 JVM_WHITESPACE = r"[ \t\n\x0B\f\r]"
 
 
+# Text counted by one task: its tables of (document, term) counts take about 20 to 50 bytes for each byte of text.
+TASK_BYTES = 8 << 20
+
+
+def text_tasks(docs: DataFrame, text_col: str, task_bytes: int | None = None) -> int:
+    """Tasks over which the text of ``docs`` is dealt, each with about ``task_bytes`` of it (``TASK_BYTES``),
+    at least one per core: measured by one aggregate over the text, so that the number grows with the data."""
+    size = docs.agg(F.sum(F.octet_length(text_col).cast("bigint")).alias("n")).first().n or 0
+    return max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // (task_bytes or TASK_BYTES)))
+
+
+def by_document(docs: DataFrame, doc_col: str, text_col: str) -> DataFrame:
+    """``docs`` dealt by document over ``text_tasks`` tasks: counts per (document, term) then need no exchange of
+    their own, and their memory in a task does not grow with the table. A number of shuffle partitions fixed by
+    the session would make it grow, and AQE joins small partitions by the bytes of text, not of the counts."""
+    return docs.repartition(text_tasks(docs, text_col), doc_col)
+
+
 def tokenize(df: DataFrame, input_col: str, output: str = "tokens") -> DataFrame:
     """M6: the rule of ML's ``Tokenizer`` (lower-case, split on one white-space
     character, trailing empty tokens dropped) as built-in expressions, so it

@@ -27,7 +27,7 @@ def q_ml_hashed_tf(spark, d):
 @query("ml_hashed_vectors")
 def q_ml_hashed_vectors(spark, d):
     """M7 as one sparse vector per document."""
-    docs = fe.tokenize(table(spark, d, "documents").select("doc_id", "text").repartition("doc_id"), "text")
+    docs = fe.tokenize(fe.by_document(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text"), "text")
     return fe.sparse_rows(fe.bucket_frequencies(docs, "doc_id", "tokens", BUCKETS), "doc_id", BUCKETS).select(
         "doc_id", F.size("indices").cast("bigint").alias("filled"), F.array_join("indices", ",").alias("indices"), F.array_join("values", ",").alias("values"))
 

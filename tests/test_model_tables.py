@@ -1,17 +1,20 @@
 """Models and labels as tables: indexing without the driver, trees as SQL, ALS factors, hashed terms, layout."""
 
 import random
+import re
 
 import duckdb
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from __spark_entry__ import oracle_sql, queries
 from quarry.ml import factors as fa
 from quarry.ml import features as fe
 from quarry.ml import models as mo
 from quarry.ml import rules as ru
 from quarry.operators import layout
+from tests.compare import compare
 
 
 def test_label_ranks_order_and_back(spark):
@@ -113,6 +116,39 @@ def test_hashed_terms_collide_and_add_up(spark):
     assert sorted(wide[1]["values"]) == [1, 1, 2] and wide[1].indices == sorted(wide[1].indices) and set(wide[2].indices) <= set(wide[1].indices)
 
 
+def _tasks_of(df):
+    """Tasks that count: of the plan's exchange by document, or the files of counts they wrote."""
+    dealt = re.findall(r"hashpartitioning\(doc_id#\d+L?, (\d+)\)", df._jdf.queryExecution().executedPlan().toString())
+    return max([len(df.inputFiles()), *map(int, dealt)])
+
+
+def _long_texts():
+    return [(i, " ".join(f"w{(i * 31 + k) % 97}" for k in range(300))) for i in range(200)] + [(7, "w1 extra"), (None, "a b a"), (500, None), (501, "")]
+
+
+def test_tasks_grow_with_the_text(spark, monkeypatch):
+    df = spark.createDataFrame(_long_texts(), "doc_id long, text string")
+    size = sum(len(t or "") for _, t in _long_texts())
+    cores = spark.sparkContext.defaultParallelism
+    assert fe.text_tasks(df, "text") == cores and fe.text_tasks(df.where("false"), "text") == cores
+    assert fe.text_tasks(df, "text", 1000) == -(-size // 1000) > 100 > cores
+    monkeypatch.setattr(fe, "TASK_BYTES", 1000)
+    dealt = fe.by_document(df, "doc_id", "text").select("doc_id", F.spark_partition_id().alias("p")).collect()
+    assert len(dealt) == 204 and len({r.p for r in dealt}) > 80 and len({r.p for r in dealt if r.doc_id == 7}) == 1
+
+
+@pytest.mark.parametrize("key", ["ml_hashed_vectors"])
+def test_documents_are_dealt_by_their_size(spark, tmp_out, monkeypatch, key):
+    monkeypatch.setattr(fe, "TASK_BYTES", 1000)
+    con = duckdb.connect()
+    for name, rows, schema in (("documents", _long_texts(), "doc_id long, text string"), ("labels", [(i, i % 2) for i in range(0, 200)], "doc_id long, quality int")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_out}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_out}/{name}.parquet/*.parquet')")
+    df = queries()[key](spark, tmp_out)
+    assert _tasks_of(df) > 60
+    assert compare(df, con, oracle_sql()[key]) is None
+
+
 def test_sized_files_and_profile(spark, tmp_out):
     df = spark.range(5000).select("id", (F.col("id") % 4 == 0).cast("int").alias("k"), F.md5(F.col("id").cast("string")).alias("t"))
     df.write.parquet(f"{tmp_out}/a")
