@@ -122,7 +122,7 @@ def _long_counts(spark, d):
 @query("ml_tfidf_split")
 def q_ml_tfidf_split(spark, d):
     """M8 as studied: document frequencies from the training part only, applied to the test part."""
-    docs = table(spark, d, "documents").select("doc_id", "text").repartition("doc_id")
+    docs = fe.by_document(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
     tf = layout.written(fe.term_frequencies(fe.tokenize(docs, "text"), "doc_id", "tokens"), "tf")
     train, test = sets.split_by_key(tf, ["doc_id"], 0.7, seed=SEED, method="md5")
     ids, _ = sets.split_by_key(table(spark, d, "documents").select("doc_id"), ["doc_id"], 0.7, seed=SEED, method="md5")
