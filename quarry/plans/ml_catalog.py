@@ -26,12 +26,14 @@ def _embeddings(spark, d):
     return fe.array_features(table(spark, d, "embeddings"), "embedding").drop("embedding")
 
 
+def _labels(spark, d):
+    return table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+
+
 def _labelled_docs(spark, d):
     """Labelled documents only, then by document: where the join had to
     shuffle, its partitioning is kept and no second exchange is planned."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    lab = table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    return docs.join(lab, "doc_id").repartition("doc_id")
+    return table(spark, d, "documents").select("doc_id", "text").join(_labels(spark, d), "doc_id").repartition("doc_id")
 
 
 @query("ml_assemble")
@@ -112,10 +114,9 @@ def q_ml_naive_bayes(spark, d):
 
 def _long_counts(spark, d):
     """Labelled documents (doc_id, label) and their (doc_id, label, term, tf) rows, written once."""
-    labelled = _labelled_docs(spark, d)
+    labelled = fe.by_document(table(spark, d, "documents").select("doc_id", "text").join(_labels(spark, d), "doc_id"), "doc_id", "text")
     counts = fe.term_frequencies(fe.tokenize(labelled, "text"), "doc_id", "tokens", also=("label",))
-    ids = table(spark, d, "documents").select("doc_id").join(
-        table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
+    ids = table(spark, d, "documents").select("doc_id").join(_labels(spark, d), "doc_id")
     return ids, layout.written(counts, "tf")
 
 

@@ -137,7 +137,7 @@ def test_tasks_grow_with_the_text(spark, monkeypatch):
     assert len(dealt) == 204 and len({r.p for r in dealt}) > 80 and len({r.p for r in dealt if r.doc_id == 7}) == 1
 
 
-@pytest.mark.parametrize("key", ["ml_tfidf_split", "ml_tfidf", "ml_hashed_tf", "ml_hashed_vectors"])
+@pytest.mark.parametrize("key", ["ml_nb_terms", "ml_tfidf_split", "ml_tfidf", "ml_hashed_tf", "ml_hashed_vectors"])
 def test_documents_are_dealt_by_their_size(spark, tmp_out, monkeypatch, key):
     monkeypatch.setattr(fe, "TASK_BYTES", 1000)
     con = duckdb.connect()
