@@ -78,6 +78,8 @@ class Vocabulary:
             if len(p) == 1:
                 self.char_symbol[ord(p)] = i
         self.text_of = [p.replace(MARK, " ") for p in self.pieces]
+        self.decimal = [str(i) for i in every]
+        self.byte_ids = frozenset(self.bytes_of)
 
     def split(self, text: str) -> list[str]:
         """The independent units of a text, after the library's own preparation (identity with a space mark in front)."""
@@ -180,7 +182,7 @@ class Vocabulary:
 
     def unit_text(self, ids: list[int]) -> str:
         """Pieces as text, byte pieces read as UTF-8 (each byte that doesn't fit becomes U+FFFD)."""
-        if not any(i in self.bytes_of for i in ids):
+        if self.byte_ids.isdisjoint(ids):
             return "".join([self.text_of[i] for i in ids])
         out, run = [], bytearray()
         for i in [*ids, -1]:
@@ -226,15 +228,21 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class Units(dict):
-    """Results by unit, and the characters that units and results hold."""
+    """Number of ids, ids as text and decoded text by unit, and the characters that units and results hold."""
 
     chars = 0
 
-    def put(self, unit: str, ids: list[int], text: str) -> None:
-        written = ",".join(map(str, ids))
-        self[unit] = (len(ids), written, text)
+    def put(self, unit: str, n: int, written: str, text: str) -> None:
+        self[unit] = (n, written, text)
         self.chars += len(unit) + len(written) + len(text)
 
+    def keep(self, units: set[str]) -> None:
+        """Only these units stay: those of the slice at hand, so that frequent ones are not encoded anew."""
+        kept = [(u, *self[u]) for u in units if u in self]
+        self.clear()
+        for k in kept:
+            self.put(*k)
+
     def clear(self) -> None:
         super().clear()
         self.chars = 0
@@ -247,23 +255,24 @@ def _encoded(voc: Vocabulary, path: str, texts: list[str], verify: bool) -> list
     """Number of ids, ids as text, decoded text of each text; new units enter the cache together."""
     cache = _UNITS.setdefault(path, Units())
     split = [voc.split(t) for t in texts]
-    new = list({u for units in split for u in units if u not in cache})
+    seen = set().union(*split)
+    new = [u for u in seen if u not in cache]
     if len(cache) + len(new) > CACHE_UNITS or cache.chars > CACHE_CHARS:
-        cache.clear()
-        new = list({u for units in split for u in units})
+        cache.keep(seen)
     ids = voc.encode_units(new)
     if verify:
         voc.check(new, ids)
+    decimal = voc.decimal
     for u, i in zip(new, ids):
-        cache.put(u, i, voc.unit_text(i))
+        cache.put(u, len(i), ",".join([decimal[k] for k in i]), voc.unit_text(i))
     out = []
     for units in split:
         if not units:
             out.append((0, "", ""))
             continue
-        n, text_ids, text = zip(*[cache[u] for u in units])
-        whole = "".join(text)
-        out.append((sum(n), ",".join(text_ids), whole[1:] if whole[0] == " " else whole))
+        found = [cache[u] for u in units]
+        whole = "".join([t for _, _, t in found])
+        out.append((sum([n for n, _, _ in found]), ",".join([w for _, w, _ in found]), whole[1:] if whole[0] == " " else whole))
     return out
 
 

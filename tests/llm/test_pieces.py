@@ -82,3 +82,15 @@ def test_cache_is_bounded_in_characters(voc, monkeypatch):
     most = max(len(t) + len(ids) + len(text) for t, (_, ids, text) in zip(texts, whole)) + 10
     assert max(held) <= 20_000 + most and pieces._UNITS["whole"].chars > 3 * max(held)
     assert pieces._UNITS["bounded"].chars == sum(len(u) + len(i) + len(t) for u, (_, i, t) in pieces._UNITS["bounded"].items())
+
+
+def test_a_full_cache_keeps_the_units_at_hand(voc, monkeypatch):
+    known, fresh = (" ".join(f"{c}{k}" for k in range(40)) for c in "ab")
+    want = pieces._encoded(voc, "large", [f"{known} {fresh}"], True)
+    monkeypatch.setattr(pieces, "CACHE_UNITS", 50)
+    pieces._encoded(voc, "full", [known], True)
+    asked, encode = [], type(voc).encode_units
+    monkeypatch.setattr(type(voc), "encode_units", lambda self, units: asked.extend(units) or encode(self, units))
+    assert pieces._encoded(voc, "full", [f"{known} {fresh}"], True) == want
+    assert sorted(asked) == sorted(voc.split(fresh))  # none of the known ones again
+    assert pieces._encoded(voc, "full", ["c"], True)[0][0] > 0 and len(pieces._UNITS["full"]) == 1
