@@ -62,20 +62,26 @@ def q_ml_forest_rules(spark, d):
     return counted.select("vec_id", (F.col("own") == F.expr(pick)).alias("agree"))
 
 
+def _ratings(spark, d):
+    """(user, item, rating, user_id, item_id): mean quantity per customer and part, their keys numbered too, as ALS takes
+    int ids and keys may be larger. Customers are numbered on the orders, which are fewer than the ratings, and no ratings
+    are written only to number their keys. Written: read by the fit and by the prediction. (``ml_als`` numbers the keys of
+    its ratings: its predictions depend on the numbers, whether pairs are known or agree here does not.)"""
+    li = table(spark, d, "lineitem").select("l_orderkey", F.col("l_partkey").alias("item"), "l_quantity")
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("user"))
+    o = o.join(fe.dense_ids(o, "user", "user_id"), "user")
+    ratings = li.join(o, li["l_orderkey"] == o["o_orderkey"]).groupBy("user", "user_id", "item").agg(F.avg("l_quantity").alias("rating"))
+    return layout.written(ratings.join(fe.dense_ids(li, "item", "item_id"), "item"), "ratings-numbered")
+
+
 @query("ml_als_scores")
 def q_ml_als_scores(spark, d):
     """The held-out ratings scored by joins on the factor tables: known
     pairs agree with the model's own prediction, cold pairs are told apart."""
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    ratings = layout.written(li.join(o, li["l_orderkey"] == o["o_orderkey"]).groupBy(F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"))
-                             .agg(F.avg("l_quantity").alias("rating")), "ratings")
-    numbered = layout.written(ratings.join(fe.dense_ids(ratings, "user", "user_id"), "user").join(fe.dense_ids(ratings, "item", "item_id"), "item"), "ratings-numbered")
-    train, test = sets.split_by_key(numbered, ["user", "item"], 0.5, seed=SEED, method="md5")
+    train, test = sets.split_by_key(_ratings(spark, d), ["user", "item"], 0.5, seed=SEED, method="md5")
     model = mo.als(train, "user_id", "item_id", "rating", rank=10, max_iter=3, seed=SEED)
     users, items = fa.factor_tables(model)
-    own = model.transform(test).withColumnRenamed("prediction", "own")
-    scored = fa.score_pairs(own, users, items, "user_id", "item_id")
+    scored = fa.score_pairs(test, users, items, "user_id", "item_id", between=lambda pairs: model.transform(pairs).withColumnRenamed("prediction", "own"))
     near = F.abs(F.col("own") - F.col("prediction")) <= 1e-4 * F.greatest(F.lit(1.0), F.abs("own"))
     return scored.select("user", "item", "known", F.when(F.col("known"), near).otherwise(F.isnan("own") & F.isnan("prediction")).alias("agree"))
 

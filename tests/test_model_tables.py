@@ -14,7 +14,9 @@ from quarry.ml import features as fe
 from quarry.ml import models as mo
 from quarry.ml import rules as ru
 from quarry.operators import layout
+from quarry.plans import model_catalog
 from tests.compare import compare
+from tests.conftest import SF_SMALL
 
 
 def test_label_ranks_order_and_back(spark):
@@ -108,6 +110,55 @@ def test_factors_give_the_models_predictions(spark):
     assert (e.known_pairs, e.cold_pairs) == (train.count(), 3) and e.rmse == pytest.approx(want ** 0.5, rel=1e-4)
 
 
+def _item_shuffles(df, item):
+    return len(re.findall(rf"Exchange hashpartitioning\({item}#", df._jdf.queryExecution().executedPlan().toString()))
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, was)
+
+
+def test_model_between_the_joins(spark, no_broadcast):
+    rng = random.Random(5)
+    rows = [(0 if rng.random() < 0.4 else rng.randrange(30), 1 if rng.random() < 0.4 else rng.randrange(25), rng.uniform(1, 5)) for _ in range(500)]
+    train = spark.createDataFrame(rows, "u int, i int, r float").dropDuplicates(["u", "i"])
+    model = mo.als(train, "u", "i", "r", rank=4, max_iter=3, blocks=2)
+    users, items = fa.factor_tables(model)
+    pairs = train.unionByName(spark.createDataFrame([(500, 1, 3.0), (1, 900, 3.0), (700, 800, 1.0), (1, 900, 3.0)], train.schema))
+
+    def own(df):
+        return model.transform(df).withColumnRenamed("prediction", "own")
+
+    apart, shared = fa.score_pairs(own(pairs), users, items, "u", "i"), fa.score_pairs(pairs, users, items, "u", "i", between=own)
+    assert (_item_shuffles(apart, "i"), _item_shuffles(shared, "i")) == (2, 1)
+    assert shared.columns == apart.columns == ["u", "i", "r", "own", "known", "prediction"]
+    assert sorted(map(str, shared.collect())) == sorted(map(str, apart.collect()))
+
+
+def test_als_scores_deal_the_pairs_by_item_once(spark, no_broadcast):
+    assert _item_shuffles(queries()["ml_als_scores"](spark, SF_SMALL), "item_id") == 1
+
+
+def test_ratings_are_numbered_without_being_written_for_it(spark, tmp_out, monkeypatch):
+    lines = [(1, 10, 2.0), (1, 10, 4.0), (2, 10, 5.0), (2, 1 << 40, 7.0), (3, None, 1.0), (None, 11, 1.0), (4, 12, 1.0), (9, 13, 1.0), (5, 11, 3.0)]
+    orders = [(1, 100), (2, 100), (3, 100), (4, None), (5, 1 << 41), (5, 1 << 41), (6, 102), (None, 103)]  # 6 has no lines, 9 no order
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity double").write.parquet(f"{tmp_out}/lineitem.parquet")
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_out}/orders.parquet")
+    labels, written = [], layout.written
+    monkeypatch.setattr(layout, "written", lambda df, label: labels.append(label) or written(df, label))
+    got = model_catalog._ratings(spark, tmp_out).collect()
+    assert labels == ["ratings-numbered"]
+    assert sorted((r.user, r.item, r.rating) for r in got) == [(100, 10, 11 / 3), (100, 1 << 40, 7.0), (1 << 41, 11, 3.0)]
+    for key, number in (("user", "user_id"), ("item", "item_id")):
+        assert len({r[key] for r in got}) == len({r[number] for r in got}) == len({(r[key], r[number]) for r in got})
+        assert all(0 <= r[number] < 6 for r in got)
+
+
 def test_hashed_terms_collide_and_add_up(spark):
     df = spark.createDataFrame([(1, ["a", "b", "a", "c"]), (2, ["b"]), (3, [])], "doc int, t array<string>")
     one = fe.bucket_frequencies(df, "doc", "t", 1).orderBy("doc").collect()  # all terms in one bucket
